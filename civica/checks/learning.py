@@ -20,7 +20,7 @@ def _rows(spark, sf):
 
 
 def _split(spark, sf):
-    return price_model.split(_rows(spark, sf), KEY)
+    return price_model.stored_split(_rows(spark, sf), KEY, scratch_path(spark, "model_rows"))
 
 
 @check("train_split", sql("SELECT property_id, part FROM split_listing", "split_listing"))
@@ -93,7 +93,7 @@ def kpi_price_model(spark, sf):
     SELECT min(price) AS lowest, max(price) AS highest FROM split_listing
     WHERE part = 'test'""", "split_listing"))
 def actual_range(spark, sf):
-    return price_model.price_range(_split(spark, sf)[1])
+    return price_model.price_range(price_model.split(_rows(spark, sf), KEY)[1])
 
 
 @check("model_roundtrip", sql("""

@@ -9,7 +9,7 @@ from civica.checks.registry import check
 from civica.checks.shaping import FLAT_LISTING, _flat_listings
 from civica.checks.tables import sql
 from civica.fixed_values import ELECTORS, MATRIX_COLUMNS, PLACE_KEYS, PSEUDO_PARTIES
-from civica.operators import aggregates, filters, joins, ranking
+from civica.operators import aggregates, filters, joins, moments, ranking
 from civica.plans import kpis, reconcile
 
 
@@ -135,7 +135,7 @@ def _matrix_sql() -> str:
 
 @check("corr_matrix", _matrix_sql())
 def corr_matrix(spark, sf):
-    rows = aggregates.corr_matrix(_joined(spark, sf), MATRIX_COLUMNS)
+    rows = moments.corr_matrix(_joined(spark, sf), MATRIX_COLUMNS)
     return rows.withColumn("r", F.round("r", 6))
 
 

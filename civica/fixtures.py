@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civica.functions.numbers import decimal_comma_text
+from civica.operators.joins import join_on_keys
 from civica.plans import kpis
 from civica.plans.reconcile import Lookup
 
@@ -36,9 +37,11 @@ def _with_place(df: DataFrame, spark: SparkSession, sf_dir: str, nation_key: str
 
 
 def _orders_with_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with their customer's place; a customer may hold any share of them."""
     orders = table(spark, sf_dir, "orders")
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    joined = orders.join(customer, orders["o_custkey"] == customer["c_custkey"])
+    customer = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    joined = join_on_keys(orders, customer, ["o_custkey"])
     return _with_place(joined, spark, sf_dir, "c_nationkey")
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,20 +26,6 @@ def corr_whole(df: DataFrame, x: str, y: str, out: str) -> DataFrame:
     return df.agg(safe_corr(x, y).alias(out))
 
 
-def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pairwise correlations ``(x, y, r)`` of the upper triangle, from one pass.
-
-    Each pair uses the rows where both of its values are present.
-    """
-    pairs = list(combinations(columns, 2))
-    row = df.agg(*[safe_corr(x, y).alias(f"r{i}") for i, (x, y) in enumerate(pairs)])
-    cells = [
-        F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.col(f"r{i}").alias("r"))
-        for i, (x, y) in enumerate(pairs)
-    ]
-    return row.select(F.inline(F.array(*cells)))
-
-
 def frequency(df: DataFrame, column: str) -> DataFrame:
     """Row count per value, NULL included, in ascending order of the value."""
     counted = df.groupBy(column).agg(F.count(F.lit(1)).alias("count"))

@@ -18,7 +18,7 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_SHARE = 0.02
 HOT_COPIES = 64
 SALT = "__salt"
-HOT = "__hot"
+HASH = "__hash"
 
 
 def _width(field: T.StructField) -> Column:
@@ -40,19 +40,17 @@ def fits_broadcast(
     return size["rows"] <= max_rows and (size["bytes"] or 0) <= max_bytes
 
 
-def _hot_keys(df: DataFrame, keys: Sequence[str], share: float) -> DataFrame:
-    """Keys holding at least ``share`` of the rows: never more than ``1 / share`` rows."""
-    total = df.count()
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(HOT))
-    rows = counted.where(F.col(HOT) >= F.lit(max(total * share, 1.0))).select(*keys).collect()
-    return df.sparkSession.createDataFrame(rows, df.select(*keys).schema)
+def _hot_hashes(df: DataFrame, keys: Sequence[str], share: float) -> list[int]:
+    """Hashes of the keys that hold at least ``share`` of the rows, in one pass.
 
-
-def _mark_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add a flag for rows whose key is hot, matching NULL keys as well."""
-    marks = hot.select(*[F.col(k).alias(f"{HOT}_{k}") for k in keys], F.lit(True).alias(HOT))
-    same = [df[k].eqNullSafe(F.col(f"{HOT}_{k}")) for k in keys]
-    return df.join(F.broadcast(marks), same, "left").drop(*[f"{HOT}_{k}" for k in keys])
+    The frequent-items sketch has a fixed size and finds every item of such a share;
+    no key is shuffled. A wrong guess would cost time, never a row.
+    """
+    most = int(1 / share)
+    top = F.expr(f"approx_top_k({HASH}, {most}, {100 * most})").alias("top")
+    hashed = df.select(F.xxhash64(*keys).alias(HASH))
+    row = hashed.agg(top, F.count(F.lit(1)).alias("rows")).first()
+    return [item["item"] for item in row["top"] or [] if item["count"] >= share * row["rows"]]
 
 
 def spread_join(
@@ -67,20 +65,20 @@ def spread_join(
 
     Left rows of a hot key take one of ``copies`` salts and the matching right rows
     are repeated once per salt, so every pair still meets exactly once. The salt is a
-    hash of the row, so a retried task computes the same one.
+    hash of the row, so a retried task computes the same one. A hot NULL key is spread
+    as well.
     """
-    hot = _hot_keys(left, keys, share)
-    if hot.isEmpty():
+    hot = _hot_hashes(left, keys, share)
+    if not hot:
         return left.join(right, list(keys), how)
+    is_hot = F.xxhash64(*keys).isin(hot)
     hashable = [f.name for f in left.schema.fields if not isinstance(f.dataType, T.MapType)]
-    salt = F.pmod(F.xxhash64(*[f"`{name}`" for name in hashable]), F.lit(copies))
-    salted = _mark_hot(left, hot, keys).withColumn(
-        SALT, F.when(F.col(HOT), salt).otherwise(F.lit(0)).cast("int"))
+    salt = F.pmod(F.hash(*[f"`{name}`" for name in hashable]), F.lit(copies))
+    salted = left.withColumn(SALT, F.when(is_hot, salt).otherwise(F.lit(0)))
     every = F.sequence(F.lit(0), F.lit(copies - 1))
-    repeated = _mark_hot(right, hot, keys).withColumn(
-        SALT, F.explode(F.when(F.col(HOT), every).otherwise(F.array(F.lit(0)))))
-    joined = salted.drop(HOT).join(repeated.drop(HOT), [*keys, SALT], how)
-    return joined.drop(SALT)
+    salts = F.when(is_hot, every).otherwise(F.array(F.lit(0)))
+    repeated = right.withColumn(SALT, F.explode(salts))
+    return salted.join(repeated, [*keys, SALT], how).drop(SALT)
 
 
 def join_on_keys(

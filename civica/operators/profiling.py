@@ -70,32 +70,30 @@ def drop_low_variance(df: DataFrame, floor: float = MIN_STDDEV) -> DataFrame:
     return df.drop(*_too_even(df.agg(*_deviations(names)).first(), names, floor))
 
 
-def _middle_hashes(names: list[str]) -> list[Column]:
+def _top_hashes(names: list[str]) -> list[Column]:
     """Hash of each text column's only possible majority value.
 
-    Order the rows by hash: a value held by clearly more than half of them covers the
-    middle rank, so the median hash is its hash. The sketch behind the median has a
-    fixed size and a rank error of 1e-4, far inside that margin. No value is shuffled,
-    which matters for columns where nearly every value is different. The hash has 32
-    bits, since the sketch keeps its numbers as doubles.
+    A frequent-items sketch of fixed size puts a value held by more than half of the
+    rows first. No value is shuffled, which matters for columns where nearly every
+    value is different.
     """
     return [
-        F.percentile_approx(F.hash(_quoted(name)), 0.5, 10_000).alias(f"mid_{name}")
+        F.expr(f"get(approx_top_k(xxhash64(`{name}`), 1, 1000), 0).item").alias(f"top_{name}")
         for name in names
     ]
 
 
-def _top_counts(df: DataFrame, middles: dict[str, int | None] | None, names: list[str]) -> dict:
+def _top_counts(df: DataFrame, hashes: dict[str, int | None] | None, names: list[str]) -> dict:
     """Row count of each text column's most frequent value.
 
-    With ``middles`` only rows holding that hash are counted, which is enough to
+    With ``hashes`` only rows holding that hash are counted, which is enough to
     decide on a majority. Values are compared as they are, so equal hashes of
     different values do no harm.
     """
     pairs = [F.struct(F.lit(n).alias("name"), _quoted(n).alias("value")) for n in names]
-    if middles is not None:
+    if hashes is not None:
         pairs = [
-            F.when(F.hash(_quoted(n)) == F.lit(middles[n]), pair)
+            F.when(F.xxhash64(_quoted(n)) == F.lit(hashes[n]), pair)
             for n, pair in zip(names, pairs)
         ]
     cells = df.select(F.explode(F.array(*pairs)).alias("cell")).where(F.col("cell").isNotNull())
@@ -109,7 +107,7 @@ def drop_dominant(df: DataFrame, limit: float = MAX_TOP_SHARE) -> DataFrame:
     names = text_columns(df)
     if not names:
         return df
-    row = df.agg(F.count(F.lit(1)).alias(TOTAL), *_middle_hashes(names)).first()
+    row = df.agg(F.count(F.lit(1)).alias(TOTAL), *_top_hashes(names)).first()
     return _drop_dominant(df, names, row, limit)
 
 
@@ -117,9 +115,9 @@ def _drop_dominant(df: DataFrame, names: list[str], row: Row, limit: float) -> D
     total = row[TOTAL]
     if not total or not names:
         return df
-    # The median only finds a clear majority; a lower limit counts every value.
-    middles = {name: row[f"mid_{name}"] for name in names} if limit >= 0.51 else None
-    top = _top_counts(df, middles, names)
+    # The sketch settles a clear majority; a lower limit counts every value.
+    hashes = {name: row[f"top_{name}"] for name in names} if limit >= 0.51 else None
+    top = _top_counts(df, hashes, names)
     return df.drop(*[name for name in names if top.get(name, 0) / total > limit])
 
 
@@ -138,7 +136,7 @@ def clean_full(
     complete = drop_incomplete(drop_sparse_columns(df, max_nulls))
     numbers, texts = numeric_columns(complete), text_columns(complete)
     row = complete.agg(
-        F.count(F.lit(1)).alias(TOTAL), *_deviations(numbers), *_middle_hashes(texts)
+        F.count(F.lit(1)).alias(TOTAL), *_deviations(numbers), *_top_hashes(texts)
     ).first()
     varied = complete.drop(*_too_even(row, numbers, min_stddev))
     return _drop_dominant(varied, texts, row, max_top)

@@ -30,6 +30,12 @@ LOOKUPS = [
     fv.RENT_NEIGHBORHOOD_LOOKUP,
 ]
 
+LOOKUP_SCHEMAS = {file: f"{raw} string, {name} string" for file, raw, name in LOOKUPS}
+INCOME_SCHEMA = (
+    "district_name string, `neigh_name ` string, "
+    "info array<struct<RFD: double, pop: int, year: int>>"
+)
+
 KPI_SCHEMAS = {
     "kpi1": "district string, avg_price double, participation double",
     "kpi2": "district string, correlation double",
@@ -51,7 +57,7 @@ def format_zone(
     spark: SparkSession, zone: RawZone, listing_schema: T.StructType | None = None
 ) -> dict[str, DataFrame]:
     """Load and reconcile the three datasets and remove equal rows."""
-    tables = load_files(spark, zone.lookups)
+    tables = load_files(spark, zone.lookups, schemas=LOOKUP_SCHEMAS)
     income_names = [
         Lookup.from_files(tables, fv.INCOME_DISTRICT_LOOKUP),
         Lookup.from_files(tables, fv.INCOME_NEIGHBORHOOD_LOOKUP),
@@ -60,7 +66,7 @@ def format_zone(
         Lookup.from_files(tables, fv.RENT_DISTRICT_LOOKUP),
         Lookup.from_files(tables, fv.RENT_NEIGHBORHOOD_LOOKUP),
     ]
-    income = list(load_files(spark, zone.income).values())
+    income = list(load_files(spark, zone.income, schemas={"json": INCOME_SCHEMA}).values())
     elections = list(load_files(spark, zone.elections).values())
     # The same listing in two snapshots is one row, so the snapshot is left out.
     listings = load_snapshots(spark, zone.listings, listing_schema).drop("snapshot")
@@ -102,9 +108,7 @@ def run_batch(
 
     rows = kpis.listings_with_income(listings, income)
     rows = rows.select(split_key, *fv.MODEL_COLUMNS)
-    write_collection(rows, "predictive_data", results, append=False)
-    data = read_collections(spark, ["predictive_data"], results)["predictive_data"]
-    train, _ = price_model.split(data, split_key)
+    train, _ = price_model.stored_split(rows, split_key, f"{results}/predictive_data")
     model = price_model.fit_price_model(train)
     folder = f"{results}/linear_regression"
     save_model(model, folder)

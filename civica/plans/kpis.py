@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from civica import fixed_values as fv
@@ -19,6 +19,7 @@ from civica.functions.numbers import ratio, to_double
 from civica.operators.aggregates import corr_whole, sum_by
 from civica.operators.filters import keep_equal, keep_not_in
 from civica.operators.joins import join_on_keys
+from civica.operators.moments import combine_correlation, value_moments
 from civica.operators.ranking import order_descending, top_within
 from civica.operators.shaping import recast_numbers
 
@@ -49,53 +50,20 @@ def average_price(listing: DataFrame, income: DataFrame, by: str = "district") -
     return order_descending(result, "avg_price", [by])
 
 
-def _place_moments(df: DataFrame, value: str, prefix: str) -> DataFrame:
-    number = to_double(F.col(value))
-    return df.groupBy(*fv.PLACE_KEYS).agg(
-        F.count(number).alias(f"{prefix}_n"),
-        F.avg(number).alias(f"{prefix}_mean"),
-        F.var_pop(number).alias(f"{prefix}_var"),
-        F.min(number).alias(f"{prefix}_low"),
-        F.max(number).alias(f"{prefix}_high"),
-    )
-
-
 def price_income_correlation(
     listing: DataFrame, income: DataFrame, by: str = "district"
 ) -> DataFrame:
     """Correlation of price and income per ``by`` over the joined rows.
 
     Within one place every price meets every income, so the two are uncorrelated
-    there: the covariance is that of the place means, and each variance is that of
-    the means plus the mean variance within places. Deviations are taken from the
-    district means, so no digits are lost to large squares. A group in which either
-    value is constant has no correlation.
+    there, and the moments of the joined rows follow from those of either side.
     """
-    prices, incomes = _place_moments(listing, "price", "p"), _place_moments(income, "RFD", "r")
-    places = prices.join(incomes, fv.PLACE_KEYS).withColumn("w", F.col("p_n") * F.col("r_n"))
-
-    def weighted(value: Column) -> Column:
-        return F.sum(F.col("w") * value)
-
-    # One row per place here, so a window holds the places of a district at most, and
-    # the grouping below needs no further shuffle.
-    group = Window.partitionBy(by)
-    weight = F.sum("w").over(group)
-    centred = places.withColumns({
-        "p_off": F.col("p_mean") - ratio(weighted(F.col("p_mean")).over(group), weight),
-        "r_off": F.col("r_mean") - ratio(weighted(F.col("r_mean")).over(group), weight),
-    })
-    p_off, r_off = F.col("p_off"), F.col("r_off")
-    spread = F.sqrt(weighted(F.col("p_var") + p_off * p_off)) * F.sqrt(
-        weighted(F.col("r_var") + r_off * r_off))
-    met = F.col("w") > 0
-
-    def varied(prefix: str) -> Column:
-        low = F.min(F.when(met, F.col(f"{prefix}_low")))
-        return low < F.max(F.when(met, F.col(f"{prefix}_high")))
-
-    value = F.when(varied("p") & varied("r"), ratio(weighted(p_off * r_off), spread))
-    return centred.groupBy(by).agg(value.alias("correlation"))
+    price, pay = to_double(F.col("price")), to_double(F.col("RFD"))
+    prices = listing.groupBy(*fv.PLACE_KEYS).agg(*value_moments(price, "x"))
+    incomes = income.groupBy(*fv.PLACE_KEYS).agg(*value_moments(pay, "y"))
+    parts = prices.join(incomes, fv.PLACE_KEYS).withColumns({
+        "n": F.col("x_n") * F.col("y_n"), "cov": F.lit(0.0)})
+    return combine_correlation(parts, [by], "correlation")
 
 
 def _party_votes(elections: DataFrame, excluded: Sequence[str]) -> DataFrame:

@@ -13,10 +13,11 @@ from civica import fixed_values as fv
 INDEX = "neighborhood_index"
 FEATURES = "neighborhood_vector"
 LABEL = "price"
+PART = "part"
 
 
 def with_split(
-    df: DataFrame, key: str, percent: int = fv.TRAIN_PERCENT, out: str = "part"
+    df: DataFrame, key: str, percent: int = fv.TRAIN_PERCENT, out: str = PART
 ) -> DataFrame:
     """Mark each row ``train`` or ``test`` by a hash of its key.
 
@@ -29,9 +30,24 @@ def with_split(
 
 
 def split(df: DataFrame, key: str, percent: int = fv.TRAIN_PERCENT) -> tuple[DataFrame, DataFrame]:
-    marked = with_split(df, key, percent, "__part")
-    train, test = (marked.where(F.col("__part") == part) for part in ("train", "test"))
-    return train.drop("__part"), test.drop("__part")
+    marked = with_split(df, key, percent, PART)
+    train, test = (marked.where(F.col(PART) == part) for part in ("train", "test"))
+    return train.drop(PART), test.drop(PART)
+
+
+def stored_split(
+    df: DataFrame, key: str, path: str, percent: int = fv.TRAIN_PERCENT
+) -> tuple[DataFrame, DataFrame]:
+    """Training and test rows, written to ``path`` once and read from there.
+
+    Fitting passes over the training rows several times. Read from a table with one
+    folder per part, each pass costs a scan of the columns it needs instead of the
+    joins that made the rows.
+    """
+    with_split(df, key, percent, PART).write.mode("overwrite").partitionBy(PART).parquet(path)
+    stored = df.sparkSession.read.parquet(path)
+    train, test = (stored.where(F.col(PART) == part) for part in ("train", "test"))
+    return train.drop(PART), test.drop(PART)
 
 
 def label_indexer() -> StringIndexer:

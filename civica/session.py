@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -31,20 +32,22 @@ def build_session(app: str = "civica", master: str | None = None, **conf: str) -
     return builder.getOrCreate()
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="civica-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder of this machine; the
-    choice is kept in the session so that one session uses one folder.
+    Only a local master may fall back to a temporary folder of this machine.
     """
     folder = spark.conf.get(CHECKPOINT_DIR, None)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="civica-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    return _local_folder()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -6,10 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from civica.sources.collections import write_collection
-from civica.sources.files import load_snapshots, read_csv
+from civica.sources.files import Schema, load_snapshots, read_csv
 
 
 def _write_csv(df: DataFrame, path: str) -> None:
@@ -36,7 +35,7 @@ def publish_csv(
     path: str,
     name: str,
     store: str | None = None,
-    schema: T.StructType | None = None,
+    schema: Schema | None = None,
     delimiter: str = ",",
     **options: str,
 ) -> None:
@@ -61,7 +60,7 @@ def csv_to_json(
     source: str,
     target: str,
     delimiter: str = ",",
-    schema: T.StructType | None = None,
+    schema: Schema | None = None,
 ) -> None:
     """Convert the CSV files of a folder to JSON records, one output folder per file.
 

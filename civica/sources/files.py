@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 
 log = logging.getLogger(__name__)
 
-Schemas = Mapping[str, T.StructType]
+Schema = T.StructType | str
+Schemas = Mapping[str, Schema]
 
 
 def _below(path: Column, folder: str) -> Column:
@@ -33,7 +34,7 @@ def list_entries(spark: SparkSession, folder: str) -> list[str]:
 
 
 def read_csv(
-    spark: SparkSession, path: str, delimiter: str = ";", schema: T.StructType | None = None
+    spark: SparkSession, path: str, delimiter: str = ";", schema: Schema | None = None
 ) -> DataFrame:
     """CSV with a header. Quotes inside a quoted value are doubled, so names that hold
     quotes and commas stay in one column. Without a schema all columns are text."""
@@ -42,14 +43,14 @@ def read_csv(
 
 
 def read_json(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = False
+    spark: SparkSession, path: str, schema: Schema | None = None, multi_line: bool = False
 ) -> DataFrame:
     """JSON records, one per line; ``multi_line`` for a file that is one JSON array."""
     reader = spark.read.option("multiLine", multi_line)
     return (reader.schema(schema) if schema else reader).json(path)
 
 
-def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_parquet(spark: SparkSession, path: str, schema: Schema | None = None) -> DataFrame:
     return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
@@ -62,14 +63,14 @@ def load_files(
 ) -> dict[str, DataFrame]:
     """One frame per entry of ``folder``, keyed by its name and read by its extension.
 
-    Other formats are reported and skipped. ``schemas`` maps entry names to schemas;
-    a JSON file with one needs no inference pass over its data.
+    Other formats are reported and skipped. ``schemas`` maps entry names or extensions
+    to schemas; a JSON file with one needs no inference pass over its data.
     """
     schemas = schemas or {}
     frames = {}
     for name in list_entries(spark, folder):
-        path, schema = f"{folder.rstrip('/')}/{name}", schemas.get(name)
-        extension = name.rpartition(".")[2]
+        path, extension = f"{folder.rstrip('/')}/{name}", name.rpartition(".")[2]
+        schema = schemas.get(name, schemas.get(extension))
         if extension == "json":
             frames[name] = read_json(spark, path, schema, multi_line)
         elif extension == "csv":
@@ -84,7 +85,7 @@ def load_files(
 def load_snapshots(
     spark: SparkSession,
     folder: str,
-    schema: T.StructType | None = None,
+    schema: Schema | None = None,
     out: str = "snapshot",
 ) -> DataFrame:
     """All Parquet files of all snapshot folders as one frame.

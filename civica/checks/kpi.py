@@ -129,7 +129,8 @@ def sheet_participation(spark, sf):
 
 
 @check("sheet_correlation", sql("""
-    SELECT district, r AS correlation, CAST(least(floor((r + 1) / 2 * 7) + 1, 7) AS BIGINT) AS step
+    SELECT district, r AS correlation, CASE WHEN r IS NOT NULL THEN
+           CAST(least(floor((r + 1) / 2 * 7) + 1, 7) AS BIGINT) END AS step
     FROM (SELECT m.district, CAST(replace(c.correlation, ',', '.') AS DOUBLE) AS r
           FROM metrics_text m LEFT JOIN correlation_text c USING (district))""",
     "metrics_text", "correlation_text"))

@@ -179,12 +179,12 @@ def top_in_group(spark, sf):
 
 
 @check("sorted_kpi", sql("""
-    SELECT district, neighborhood, round(avg(price), 4) AS avg_price FROM listing
+    SELECT district, neighborhood, round(avg(price), 5) AS avg_price FROM listing
     GROUP BY district, neighborhood ORDER BY avg_price DESC, neighborhood""", "listing"))
 def sorted_kpi(spark, sf):
     rows = aggregates.average_by(
         fx.listing(spark, sf), ["district", "neighborhood"], "price", "avg_price")
-    rounded = rows.withColumn("avg_price", F.round("avg_price", 4))
+    rounded = rows.withColumn("avg_price", F.round("avg_price", 5))
     return ranking.order_descending(rounded, "avg_price", ["neighborhood"])
 
 

@@ -41,7 +41,7 @@ def _orders_with_place(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("o_custkey"), "c_nationkey")
-    joined = join_on_keys(orders, customer, ["o_custkey"])
+    joined = join_on_keys(orders, customer, ["o_custkey"], spread_by=["o_orderkey"])
     return _with_place(joined, spark, sf_dir, "c_nationkey")
 
 

@@ -58,22 +58,25 @@ def spread_join(
     right: DataFrame,
     keys: Sequence[str],
     how: str = "inner",
+    spread_by: Sequence[str] = (),
     share: float = HOT_SHARE,
     copies: int = HOT_COPIES,
 ) -> DataFrame:
     """Equi-join in which each hot key of the left side is spread over ``copies`` tasks.
 
     Left rows of a hot key take one of ``copies`` salts and the matching right rows
-    are repeated once per salt, so every pair still meets exactly once. The salt is a
-    hash of the row, so a retried task computes the same one. A hot NULL key is spread
-    as well.
+    are repeated once per salt, so every pair still meets exactly once. A hot NULL key
+    is spread as well. The salt is a hash of the row, or of the columns in ``spread_by``
+    (an identifier, say, which saves reading the others), so that a retried task
+    computes the same one.
     """
     hot = _hot_hashes(left, keys, share)
     if not hot:
         return left.join(right, list(keys), how)
     is_hot = F.xxhash64(*keys).isin(hot)
     hashable = [f.name for f in left.schema.fields if not isinstance(f.dataType, T.MapType)]
-    salt = F.pmod(F.hash(*[f"`{name}`" for name in hashable]), F.lit(copies))
+    hashed = F.hash(*[f"`{name}`" for name in spread_by or hashable])
+    salt = F.pmod(hashed, F.lit(copies))
     salted = left.withColumn(SALT, F.when(is_hot, salt).otherwise(F.lit(0)))
     every = F.sequence(F.lit(0), F.lit(copies - 1))
     salts = F.when(is_hot, every).otherwise(F.array(F.lit(0)))
@@ -86,6 +89,7 @@ def join_on_keys(
     right: DataFrame,
     keys: Sequence[str],
     how: str = "inner",
+    spread_by: Sequence[str] = (),
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
@@ -98,7 +102,7 @@ def join_on_keys(
     wanted = right.select(*keys, *extra)
     if fits_broadcast(wanted, max_rows, max_bytes):
         return left.join(F.broadcast(wanted), list(keys), how)
-    return spread_join(left, wanted, keys, how)
+    return spread_join(left, wanted, keys, how, spread_by)
 
 
 def attach_lookup(
@@ -120,4 +124,5 @@ def attach_lookup(
     kept = [name for name in df.columns if name not in (raw, out)]
     facts = df.select(*[F.col(f"`{name}`") for name in kept], F.col(f"`{raw}`").alias(key))
     names = lookup.select(F.col(lookup_raw).alias(key), F.col(lookup_name).alias(out))
-    return join_on_keys(facts, names, [key], "left", max_rows, max_bytes).drop(key)
+    joined = join_on_keys(facts, names, [key], "left", max_rows=max_rows, max_bytes=max_bytes)
+    return joined.drop(key)

@@ -24,9 +24,11 @@ from civica.operators.ranking import order_descending, top_within
 from civica.operators.shaping import recast_numbers
 
 
-def listings_with_income(listing: DataFrame, income: DataFrame) -> DataFrame:
+def listings_with_income(
+    listing: DataFrame, income: DataFrame, spread_by: Sequence[str] = ()
+) -> DataFrame:
     """Listing rows with the income of their place, numbers recast to double."""
-    joined = join_on_keys(listing, income, fv.PLACE_KEYS)
+    joined = join_on_keys(listing, income, fv.PLACE_KEYS, spread_by=spread_by)
     return recast_numbers(joined, fv.MATRIX_COLUMNS)
 
 

@@ -40,11 +40,10 @@ def stored_split(
 ) -> tuple[DataFrame, DataFrame]:
     """Training and test rows, written to ``path`` once and read from there.
 
-    Fitting passes over the training rows several times. Read from a table with one
-    folder per part, each pass costs a scan of the columns it needs instead of the
-    joins that made the rows.
+    Fitting passes over the training rows several times. Read from a table, each pass
+    costs a scan of the columns it needs instead of the joins that made the rows.
     """
-    with_split(df, key, percent, PART).write.mode("overwrite").partitionBy(PART).parquet(path)
+    with_split(df, key, percent, PART).write.mode("overwrite").parquet(path)
     stored = df.sparkSession.read.parquet(path)
     train, test = (stored.where(F.col(PART) == part) for part in ("train", "test"))
     return train.drop(PART), test.drop(PART)

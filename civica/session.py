@@ -11,11 +11,13 @@ from pyspark.sql import SparkSession
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 # Everything here is also safe on a cluster: adaptive execution sizes the reduce
-# side from real shuffle statistics and splits skewed join partitions.
+# side from real shuffle statistics, splits skewed join partitions, and hashes instead
+# of sorting where it has measured every partition to be small.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
 }

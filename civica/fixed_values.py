@@ -35,9 +35,8 @@ INCOME_NEIGHBORHOOD_LOOKUP = (
 RENT_DISTRICT_LOOKUP = ("rent_lookup_district.json", "di", "di_re")
 RENT_NEIGHBORHOOD_LOOKUP = ("rent_lookup_neighborhood.json", "ne", "ne_re")
 
-# Text patterns of the name normaliser.
+# Text pattern of the name normaliser.
 NOT_WORD_OR_SPACE = r"[^\w\s]"
-NOT_ALNUM_OR_SPACE = r"[^a-zA-Z0-9\s]"
 
 # Numeric columns of the correlation matrix.
 MATRIX_COLUMNS = ["price", "priceByArea", "bathrooms", "size", "pop", "RFD"]

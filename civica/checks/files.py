@@ -78,17 +78,14 @@ def parquet_to_json(spark, sf):
 
 
 @check("csv_to_json", """
-    SELECT 'priority_' || substr(o_orderpriority, 1, 1) AS file,
-           CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderpriority, o_orderstatus FROM orders""")
+    SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderpriority, o_orderstatus
+    FROM orders""")
 def csv_to_json(spark, sf):
-    """CSV files of orders to JSON; the single files are named after their priority."""
     source, target = scratch_path(spark, "csv_source"), scratch_path(spark, "csv_target")
     orders = fx.table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
     _write(orders, source, "csv", header=True)
     exports.csv_to_json(spark, source, target)
-    rows = spark.read.json(target)
-    name = F.concat(F.lit("priority_"), F.substring("o_orderpriority", 1, 1))
-    return rows.withColumn("file", name)
+    return spark.read.json(target).drop("file")
 
 
 @check("read_tables", """

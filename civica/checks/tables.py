@@ -32,7 +32,7 @@ CTES = {
         GROUP BY ALL""",
     "yearly": """
         SELECT s_nationkey, CAST(2011 + s_suppkey % 4 AS INTEGER) AS year,
-               round(avg(s_acctbal), 4) AS rfd, CAST(count(*) AS INTEGER) AS pop
+               max(s_acctbal) AS rfd, CAST(count(*) AS INTEGER) AS pop
         FROM supplier GROUP BY ALL""",
     "raw_income": """
         SELECT n_nationkey AS _id, lower(r_name) AS district_name,

@@ -89,7 +89,7 @@ def raw_income(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = table(spark, sf_dir, "supplier")
     year = (F.lit(2011) + F.col("s_suppkey") % 4).cast("int").alias("year")
     yearly = supplier.groupBy("s_nationkey", year).agg(
-        F.round(F.avg("s_acctbal"), 4).alias("RFD"),
+        F.max("s_acctbal").alias("RFD"),
         F.count(F.lit(1)).cast("int").alias("pop"))
     by_year = F.array_sort(F.collect_list(F.struct("year", "RFD", "pop")))
     records = F.transform(by_year, lambda r: F.struct(r["RFD"], r["pop"], r["year"]))

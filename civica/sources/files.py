@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,10 +16,15 @@ Schema = T.StructType | str
 Schemas = Mapping[str, Schema]
 
 
-def _below(path: Column, folder: str) -> Column:
-    """First path component below ``folder``."""
-    start = F.instr(path, F.lit(folder)) + F.lit(len(folder))
-    return F.split_part(F.substr(path, start), F.lit("/"), F.lit(1))
+def path_below(path: Column, folder: str, part: str = "[^/]+") -> Column:
+    """What ``path`` has below ``folder``: its next component, or all of it (``.+``).
+
+    Spark lists files by their full path, so scheme and host are left out of the match.
+    """
+    place = re.sub(r"^[A-Za-z][\w+.-]*:(//[^/]*)?", "", folder).rstrip("/")
+    lead = "" if place.startswith("/") else ".*?/"
+    pattern = rf"^(?:[^:/]+:)?(?://[^/]*)?{lead}\Q{place}\E/+({part})"
+    return F.regexp_extract(path, pattern, 1)
 
 
 def list_entries(spark: SparkSession, folder: str) -> list[str]:
@@ -27,9 +33,8 @@ def list_entries(spark: SparkSession, folder: str) -> list[str]:
     Spark does the listing, so any file system it can reach will do. Only names are
     read, never content.
     """
-    base = folder.rstrip("/") + "/"
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    names = files.select(_below(F.col("path"), base).alias("name")).distinct()
+    names = files.select(path_below(F.col("path"), folder).alias("name")).distinct()
     return sorted(row["name"] for row in names.collect())
 
 
@@ -97,7 +102,7 @@ def load_snapshots(
     reader = reader.schema(schema) if schema else reader.option("mergeSchema", True)
     # File paths are percent-encoded, and a plus sign in them is a plus sign.
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    return reader.parquet(folder).withColumn(out, _below(path, folder.rstrip("/") + "/"))
+    return reader.parquet(folder).withColumn(out, path_below(path, folder))
 
 
 def register(frames: Mapping[str, DataFrame], prefix: str = "") -> list[str]:

@@ -6,6 +6,8 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from civica.sources.files import path_below
+
 
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
@@ -18,7 +20,6 @@ def load_model(path: str) -> PipelineModel:
 def model_rows(spark: SparkSession, path: str) -> DataFrame:
     """Every file of a saved model as ``(file, length, content)``, ready to be stored
     as a collection next to the results."""
-    base = path.rstrip("/") + "/"
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    start = F.instr(F.col("path"), F.lit(base)) + F.lit(len(base))
-    return files.select(F.substr(F.col("path"), start).alias("file"), "length", "content")
+    name = path_below(F.col("path"), path, ".+")
+    return files.select(name.alias("file"), "length", "content")

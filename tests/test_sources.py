@@ -21,6 +21,21 @@ def test_folder_of_mixed_files(spark, rows, tmp_path, caplog):
     assert "notes.txt" in caplog.text
 
 
+@pytest.mark.parametrize(
+    "path, folder, found",
+    [
+        ("file:/data/raw/a.csv", "/data/raw", "a.csv"),
+        ("file:/data/raw/x/a.csv", "file:///data/raw/", "x"),
+        ("hdfs://data/data/raw.d/a.csv", "hdfs:///data/raw.d", "a.csv"),
+        ("s3a://bucket/a/b/c", "s3a://bucket/a", "b"),
+        ("file:/home/me/raw/a.csv", "raw", "a.csv"),
+    ],
+)
+def test_path_below(spark, path, folder, found):
+    df = spark.createDataFrame([(path,)], "path string")
+    assert df.select(files.path_below(df["path"], folder)).first()[0] == found
+
+
 def test_schemas_by_name_and_extension(spark, tmp_path):
     for name in ("a", "b"):
         (tmp_path / f"{name}.json").write_text('{"id": 3}\n')

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from civica.functions.numbers import decimal_comma_text
 from civica.operators.joins import join_on_keys
@@ -22,8 +23,16 @@ SEGMENT_PARTY = {
 }
 
 
+SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table. Its schema is read from the files once and given from then on, which
+    spares a job per read."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in SCHEMAS:
+        SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(SCHEMAS[path]).parquet(path)
 
 
 def _with_place(df: DataFrame, spark: SparkSession, sf_dir: str, nation_key: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from civica import fixtures as fx
 from civica.checks.registry import check
 from civica.checks.tables import sql
+from civica.fixed_values import MODEL_COLUMNS
 from civica.plans import kpis, price_model
 from civica.session import scratch_path
 from civica.sources import models
@@ -14,18 +15,19 @@ from civica.sources import models
 KEY = "property_id"
 
 
-def _rows(spark, sf):
-    joined = kpis.listings_with_income(fx.listing(spark, sf), fx.income(spark, sf))
-    return joined.select(KEY, "neighborhood", "RFD", "price", "bathrooms", "size")
+def _rows(spark, sf, *columns):
+    joined = kpis.listings_with_income(fx.listing(spark, sf), fx.income(spark, sf), [KEY])
+    return joined.select(KEY, *columns)
 
 
-def _split(spark, sf):
-    return price_model.stored_split(_rows(spark, sf), KEY, scratch_path(spark, "model_rows"))
+def _split(spark, sf, columns=("neighborhood", "price")):
+    rows = _rows(spark, sf, *columns)
+    return price_model.stored_split(rows, KEY, scratch_path(spark, "model_rows"))
 
 
 @check("train_split", sql("SELECT property_id, part FROM split_listing", "split_listing"))
 def train_split(spark, sf):
-    return price_model.with_split(_rows(spark, sf).select(KEY), KEY)
+    return price_model.with_split(_rows(spark, sf), KEY)
 
 
 @check("label_index", sql("""
@@ -82,7 +84,7 @@ def score_listings(spark, sf):
 @check("kpi_price_model", SCORED_SQL)
 def kpi_price_model(spark, sf):
     """The whole job: join, split, fit, save, load and score."""
-    train, test = _split(spark, sf)
+    train, test = _split(spark, sf, MODEL_COLUMNS)
     path = scratch_path(spark, "price_model")
     models.save_model(price_model.fit_price_model(train), path)
     scored = price_model.score(models.load_model(path), test, KEY)
@@ -93,7 +95,7 @@ def kpi_price_model(spark, sf):
     SELECT min(price) AS lowest, max(price) AS highest FROM split_listing
     WHERE part = 'test'""", "split_listing"))
 def actual_range(spark, sf):
-    return price_model.price_range(price_model.split(_rows(spark, sf), KEY)[1])
+    return price_model.price_range(price_model.split(_rows(spark, sf, "price"), KEY)[1])
 
 
 @check("model_roundtrip", sql("""

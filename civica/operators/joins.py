@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BROADCAST_ROWS = 1_000_000
-BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_ROWS = 4_000_000
+BROADCAST_BYTES = 128 * 1024 * 1024
+ROW_OVERHEAD = 16
 HOT_SHARE = 0.02
 HOT_COPIES = 64
 SALT = "__salt"
@@ -35,7 +36,7 @@ def fits_broadcast(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> bool:
     """Measure a frame with one aggregate (no rows shuffled) against the bound."""
-    width = sum((_width(field) for field in df.schema.fields), F.lit(0))
+    width = sum((_width(field) for field in df.schema.fields), F.lit(ROW_OVERHEAD))
     size = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")).first()
     return size["rows"] <= max_rows and (size["bytes"] or 0) <= max_bytes
 
@@ -70,7 +71,9 @@ def spread_join(
     (an identifier, say, which saves reading the others), so that a retried task
     computes the same one.
     """
-    hot = _hot_hashes(left, keys, share)
+    # Keys of different types can be equal and still hash differently.
+    alike = all(left.schema[key].dataType == right.schema[key].dataType for key in keys)
+    hot = _hot_hashes(left, keys, share) if alike else []
     if not hot:
         return left.join(right, list(keys), how)
     is_hot = F.xxhash64(*keys).isin(hot)

@@ -80,6 +80,12 @@ def test_spread_join_equals_plain_join(skewed, rows, how, spread_by):
     assert rows(joins.spread_join(left, right, ["k"], how, spread_by)) == rows(plain)
 
 
+def test_spread_join_of_keys_of_different_types(spark, rows):
+    left = spark.range(100).select((F.col("id") % 2).alias("k"), "id")
+    right = spark.createDataFrame([(0, "zero"), (1, "one")], "k int, name string")
+    assert rows(joins.spread_join(left, right, ["k"])) == rows(left.join(right, ["k"]))
+
+
 def test_hot_keys_are_found_and_few(skewed):
     left, _ = skewed
     hot = joins._hot_hashes(left, ["k"], 0.02)
@@ -98,7 +104,7 @@ def test_broadcast_only_below_the_bound(skewed, rows):
     assert "BroadcastHashJoin" in plan(small)
     large = joins.join_on_keys(left, right, ["k"], max_rows=2)
     assert not joins.fits_broadcast(right, max_rows=2)
-    assert not joins.fits_broadcast(right, max_bytes=20)
+    assert not joins.fits_broadcast(right, max_bytes=120)
     assert rows(small) == rows(large)
 
 

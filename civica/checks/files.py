@@ -27,7 +27,7 @@ def load_formats(spark, sf):
     _write(fx.table(spark, sf, "customer"), f"{folder}/customer.csv", "csv", header=True, sep=";")
     _write(fx.table(spark, sf, "part"), f"{folder}/part.parquet", "parquet")
     _write(fx.table(spark, sf, "region"), f"{folder}/region.orc", "orc")
-    frames = files.load_files(spark, folder)
+    frames = files.load_files(spark, folder, schemas={"json": "s_suppkey bigint, s_name string"})
     columns = {
         "supplier.json": ("s_suppkey", "s_name"),
         "customer.csv": ("c_custkey", "c_name"),
@@ -74,7 +74,8 @@ def parquet_to_json(spark, sf):
     source, target = scratch_path(spark, "json_source"), scratch_path(spark, "json_target")
     _write_snapshots(spark, sf, source)
     exports.parquet_to_json(spark, source, target)
-    return _snapshot_columns(spark.read.json(target))
+    schema = files.load_snapshots(spark, source).schema
+    return _snapshot_columns(files.read_json(spark, target, schema))
 
 
 @check("csv_to_json", """
@@ -85,7 +86,8 @@ def csv_to_json(spark, sf):
     orders = fx.table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
     _write(orders, source, "csv", header=True)
     exports.csv_to_json(spark, source, target)
-    return spark.read.json(target).drop("file")
+    schema = "o_orderkey string, o_orderpriority string, o_orderstatus string"
+    return files.read_json(spark, target, schema).drop("file")
 
 
 @check("read_tables", """

@@ -78,7 +78,8 @@ def test_constant_income_has_no_correlation(spark):
 
 def test_text_numbers_and_text_votes(spark, rows):
     listing = spark.createDataFrame(
-        [("a", "d", "10.5"), ("a", "d", "bad")], "neighborhood string, district string, price string")
+        [("a", "d", "10.5"), ("a", "d", "bad")],
+        "neighborhood string, district string, price string")
     income = spark.createDataFrame(
         [("a", "d", "1", "4")], "neighborhood string, district string, RFD string, pop string")
     elections = spark.createDataFrame(

@@ -119,7 +119,8 @@ def test_batch_stores_model_and_results(spark, tmp_path):
     formatted, results = str(tmp_path / "formatted"), str(tmp_path / "results")
     batch.run_batch(spark, zone, formatted, results)
     batch.run_batch(spark, zone, formatted, results)
-    stored = collections.read_collections(spark, ["kpi1", "kpi2", "kpi3", "predictive_model"], results)
+    names = ["kpi1", "kpi2", "kpi3", "predictive_model"]
+    stored = collections.read_collections(spark, names, results)
     assert stored["kpi1"].columns == ["district", "avg_price", "participation"]
     assert stored["predictive_model"].where("file LIKE 'metadata/%'").count() >= 1
     assert models.load_model(f"{results}/linear_regression").stages[-1].numFeatures > 0

@@ -25,14 +25,6 @@ MIN_CHARS = 16
 WHITE = " \t\r\f\x0b"
 
 
-def segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
-    """Start (from 1) and size of segment i of a line; the last ones are the longer."""
-    size = F.floor(length / parts).cast("int")
-    shorter = F.lit(parts) - F.pmod(length, F.lit(parts))
-    start = size * i + F.greatest(F.lit(i) - shorter, F.lit(0)) + 1
-    return start.cast("int"), (size + F.when(F.lit(i) >= shorter, 1).otherwise(0)).cast("int")
-
-
 def shifts(i: int, longer: int, edits: int) -> range:
     """By how much a substring of a line may lie beside segment i of one that is shorter
     by ``longer``: what lies before and behind must match in the edits that are left."""
@@ -40,49 +32,79 @@ def shifts(i: int, longer: int, edits: int) -> range:
     return range(max(-before, longer - behind), min(before, longer + behind) + 1)
 
 
-def meeting_hashes(line: Column, length: Column, edits: int) -> Column:
-    """Hashes by which a line meets others; null where there is none."""
-    found = []
-    for longer in range(edits + 1):
-        other = length - longer
-        for i in range(edits + 1):
-            start, size = segment(other, i, edits + 1)
-            for shift in shifts(i, longer, edits):
-                piece = F.xxhash64(F.substring(line, start + shift, size), F.lit(i), other)
-                fits = (start + shift >= 1) & (start + shift + size - 1 <= length) & (size > 0)
-                found.append(F.when(fits, piece))
-    return F.array(*found)
+def meeting_hashes(lines: DataFrame, edits: int) -> DataFrame:
+    """``line_id, place``: the hashes by which lines meet. lines: ``line_id, line``.
+
+    A line is taken in UTF-32, where any character is found without a walk. Each row of
+    a small table says which segment i of a line that is shorter by ``longer`` is looked
+    for at which shift; the segment's start and size follow from that length, the last
+    segments being the longer ones.
+    """
+    parts = edits + 1
+    table = F.array(*[
+        F.struct(F.lit(longer).alias("longer"), F.lit(i).alias("i"), F.lit(shift).alias("shift"))
+        for longer in range(parts) for i in range(parts) for shift in shifts(i, longer, edits)])
+    coded = lines.select("line_id", F.encode("line", "UTF-32").alias("code"))
+    rows = coded.select("line_id", "code", (F.octet_length("code") / 4).cast("int").alias("length"), F.inline(table))
+    rows = rows.withColumn("other", F.col("length") - F.col("longer"))
+    rows = rows.withColumn("short", parts - F.pmod("other", F.lit(parts)))  # segments of the smaller size
+    rows = rows.withColumn("size", F.expr(f"other div {parts}").cast("int"))
+    rows = rows.withColumn("start", F.col("size") * F.col("i") + F.greatest(F.col("i") - F.col("short"), F.lit(0)) + F.col("shift"))
+    rows = rows.withColumn("size", F.col("size") + F.when(F.col("i") >= F.col("short"), 1).otherwise(0))
+    rows = rows.where("start >= 0 and start + size <= length and size > 0")
+    piece = F.substring("code", F.col("start") * 4 + 1, F.col("size") * 4)
+    return rows.select("line_id", F.xxhash64(piece, "i", "other").alias("place"))
+
+
+def cores(pairs: DataFrame, a: str, b: str, edits: int) -> DataFrame:
+    """Columns a and b as characters, without their common ends but for ``edits`` of
+    each; that leaves their distance as it is."""
+    steps = F.lit([1 << k for k in range(17, -1, -1)])
+
+    def common(x: str, y: str) -> Column:
+        shorter = F.least(F.length(x), F.length(y))
+        return F.aggregate(steps, F.lit(0), lambda n, step: F.when(
+            (n + step <= shorter) & (F.substring(F.col(x), n + 1, step) == F.substring(F.col(y), n + 1, step)),
+            n + step).otherwise(n))
+
+    for _ in range(2):  # what is cut from the front, then, reversed, from the back
+        pairs = pairs.withColumn("_cut", F.greatest(common(a, b) - edits, F.lit(0)))
+        pairs = pairs.withColumns({c: F.reverse(F.substring(F.col(c), F.col("_cut") + 1, F.length(c))) for c in (a, b)})
+    return pairs.drop("_cut").withColumns({c: F.split(F.col(c), "") for c in (a, b)})
 
 
 def within_edits(a: Column, b: Column, edits: int) -> Column:
-    """Whether two lines are within ``edits`` edits: a banded bit-parallel distance.
+    """Whether two arrays of characters are within ``edits`` edits: a banded bit-parallel
+    distance. Both should be plain columns, as every step looks into them.
 
     The columns of the distance matrix are walked along the characters of b. A word holds
     the 2 * edits + 1 rows around the diagonal as bits, the lowest row of the band on
     top; plus and minus say where a cell is one more or less than the one above it. The
     value at the top bit is followed down the diagonal until the last row, then along it.
-    Lines are compared in characters and must have at least ``edits`` of them.
+    Both must hold at least ``edits`` characters.
     """
     width = 2 * edits + 1
     full, top = (1 << width) - 1, 1 << (width - 1)
     long = lambda x: F.lit(x).cast("bigint")
     flip = lambda x: x.bitwiseXOR(long(full))
 
-    def matches(state_a: Column, size: Column, char: Column, i: Column) -> Column:
+    def matches(char: Column, i: Column) -> Column:
         bits = long(0)
         for k in range(width):
             row = i + (k - edits)
-            same = F.when((row >= 0) & (row < size), F.coalesce(F.get(state_a, row) == char, F.lit(False))).otherwise(False)
+            same = F.when((row >= 0) & (row < size), F.get(a, row) == char).otherwise(False)
             bits = bits.bitwiseOR(F.when(same, long(1 << k)).otherwise(long(0)))
         return bits
 
     bit = F.lit([1 << k for k in range(width)]).cast("array<bigint>")
-    chars_a, chars_b = F.split(a, ""), F.split(b, "")
+    size = F.size(a)
     start = F.struct(long(((1 << (edits + 1)) - 1) << edits).alias("plus"), long(0).alias("minus"),
-                     F.lit(edits).cast("int").alias("value"), chars_a.alias("a"), F.size(chars_a).alias("n"))
+                     F.lit(edits).cast("int").alias("value"))
 
     def step(s: Column, x: Column) -> Column:
         i = x["i"]
+        # From there on the last value can't come down to edits again.
+        far = s["value"] > 3 * edits
         # Lambdas see no common subexpressions, so each step's words go through a nested
         # one-element transform.
         def cell(m: Column) -> Column:
@@ -93,20 +115,20 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
             more = s["minus"].bitwiseOR(flip(d.bitwiseOR(s["plus"])))
             less = d.bitwiseAND(s["plus"])
             down = F.shiftrightunsigned(d, 1)
-            last = F.get(bit, F.greatest(F.least(s["n"] - 1 - i + edits, F.lit(width - 1)), F.lit(0)))
-            diagonal = i + edits <= s["n"] - 1
+            last = F.get(bit, F.greatest(F.least(size - 1 - i + edits, F.lit(width - 1)), F.lit(0)))
+            diagonal = i + edits <= size - 1
             change = F.when(diagonal, F.when(d.bitwiseAND(long(top)) == 0, 1).otherwise(0)).otherwise(
                 F.when(more.bitwiseAND(last) != 0, 1).otherwise(0) - F.when(less.bitwiseAND(last) != 0, 1).otherwise(0))
             return F.struct(
                 less.bitwiseOR(flip(down.bitwiseOR(more))).alias("plus"), down.bitwiseAND(more).alias("minus"),
-                (s["value"] + change).cast("int").alias("value"), s["a"].alias("a"), s["n"].alias("n"))
+                (s["value"] + change).cast("int").alias("value"))
 
-        words = F.transform(F.array(matches(s["a"], s["n"], x["c"], i)), cell)
-        return F.get(F.transform(words, after), F.lit(0))
+        words = F.transform(F.array(matches(x["c"], i)), cell)
+        return F.when(far, s).otherwise(F.get(F.transform(words, after), F.lit(0)))
 
-    characters = F.transform(chars_b, lambda c, i: F.struct(c.alias("c"), i.alias("i")))
+    characters = F.transform(b, lambda c, i: F.struct(c.alias("c"), i.alias("i")))
     distance = F.aggregate(characters, start, step, lambda s: s["value"])
-    near = F.abs(F.length(a) - F.length(b)) <= edits
+    near = F.abs(size - F.size(b)) <= edits
     return F.when(near, distance <= edits).otherwise(False)
 
 
@@ -115,22 +137,27 @@ def first_in_corpus() -> Column:
     return F.min(F.struct("doc_id", "key", "pos")).alias("first")
 
 
+def trimmed(line: Column) -> Column:
+    """A line without white space at its ends; spaces alone go the quick way."""
+    spaces = F.trim(line)
+    ends = F.concat(F.left(spaces, F.lit(1)), F.right(spaces, F.lit(1)))
+    return F.when(ends.rlike(r"[\t\r\f\x0b]"), F.trim(line, F.lit(WHITE))).otherwise(spaces)
+
+
 def exploded(docs: DataFrame) -> DataFrame:
     """``doc_id, key, pos, line, line_id`` of all lines that hold more than white space."""
     rows = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.xxhash64(F.col("text").cast("string")).alias("key"),
         F.posexplode(F.split(F.col("text").cast("string"), "\n", -1)).alias("pos", "raw"))
-    rows = rows.select("doc_id", "key", "pos", F.trim("raw", F.lit(WHITE)).alias("line"))
+    rows = rows.select("doc_id", "key", "pos", trimmed(F.col("raw")).alias("line"))
     return rows.where("line <> ''").select("doc_id", "key", "pos", "line", F.xxhash64("line").alias("line_id"))
 
 
 def line_links(lines: DataFrame, edits: int, min_chars: int) -> DataFrame:
     """``node, root``: classes of different lines linked by at most ``edits`` edits."""
     long_lines = lines.where(F.length("line") >= min_chars)
-    places = long_lines.select(
-        "line_id", F.explode(meeting_hashes(F.col("line"), F.length("line"), edits)).alias("place"))
-    places = places.where("place is not null")
+    places = meeting_hashes(long_lines.select("line_id", "line"), edits)
     sorted_place = Window.partitionBy("place").orderBy("line_id")
     rows = places.select(
         "place", F.col("line_id").alias("b"),
@@ -145,6 +172,9 @@ def line_links(lines: DataFrame, edits: int, min_chars: int) -> DataFrame:
                        .groupBy("line_id").agg(F.min("line").alias("line")), "lines")
         side = lambda s: texts.select(F.col("line_id").alias(s), F.col("line").alias(f"line_{s}"))
         both = pairs.join(side("a"), "a").join(side("b"), "b")
+        both = cores(both.where(F.abs(F.length("line_a") - F.length("line_b")) <= edits), "line_a", "line_b", edits)
+        # Written, so that the distance finds characters and doesn't split lines at every step.
+        both = stored(both, "cores")
         return both.where(within_edits(F.col("line_a"), F.col("line_b"), edits)).select("a", "b")
 
     first = stored(meeting.select("a", "b").distinct(), "pairs")
@@ -207,7 +237,7 @@ def deduplicated(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS
     joined = docs.join(kept, same, "left").select(
         F.struct(*columns).alias("_row"), F.split(text, "\n", -1).alias("_lines"), "kept", "n_near")
     joined = joined.withColumn("_blank", F.filter(
-        F.transform("_lines", lambda x, i: F.when(F.trim(x, F.lit(WHITE)) == "", i)), lambda i: i.isNotNull()))
+        F.transform("_lines", lambda x, i: F.when(trimmed(x) == "", i)), lambda i: i.isNotNull()))
     none = F.array().cast("array<int>")
     stay = F.array_sort(F.concat(F.coalesce("kept", none), F.coalesce("_blank", none)))
     stayed = F.array_join(F.transform(stay, lambda i: F.get("_lines", i)), "\n")

@@ -8,7 +8,8 @@ line; lines meet where a hash is equal.
 1. Where lines meet, each is tried against the first of them; pairs verified by a banded
    bit-parallel edit distance are links, and links give classes.
 2. Meeting places that still hold several classes are looked at again across classes,
-   so that no link between different lines is lost.
+   so that no link between different lines is lost. Only pairs whose character counts
+   allow a link leave that join.
 3. Of each class the first line in the corpus stays. Positions are gathered by line and
    by document, so a line that stands everywhere is a running minimum, not a group.
 """
@@ -22,6 +23,7 @@ from civica.llm.common import bounded_broadcast, components, stored
 
 EDITS = 2
 MIN_CHARS = 16
+COUNTED = ("eE", "tT", "aA", "oO", "iI", "nN", "sS", "rR", "hH", "lL", "dD", "uU", " ")
 WHITE = " \t\r\f\x0b"
 
 
@@ -132,6 +134,14 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
     return F.when(near, distance <= edits).otherwise(False)
 
 
+def bag(line: Column) -> Column:
+    """How often some characters stand in a line, and all others. An edit changes two of
+    the counts by one at most, so lines whose counts are further apart are no pair."""
+    size = F.length(line)
+    counts = [size - F.length(F.translate(line, c, "")) for c in COUNTED]
+    return F.array(*counts, F.length(F.translate(line, "".join(COUNTED), "")))
+
+
 def first_in_corpus() -> Column:
     """Where a line stands first: documents by id (null first), then text, then position."""
     return F.min(F.struct("doc_id", "key", "pos")).alias("first")
@@ -165,11 +175,13 @@ def line_links(lines: DataFrame, edits: int, min_chars: int) -> DataFrame:
         F.lag("line_id").over(sorted_place).alias("before"))
     meeting = stored(rows.where("a <> b and b <> before").select("place", "a", "b"), "meetings")
 
+    # The lines that met anything, with their texts, in one pass.
+    wanted = meeting.select(F.col("a").alias("line_id")).unionAll(meeting.select("b")).distinct()
+    wanted = bounded_broadcast(stored(wanted, "wanted"))
+    texts = long_lines.select("line_id", "line").join(wanted, "line_id").groupBy("line_id").agg(F.min("line").alias("line"))
+    texts = stored(texts.withColumn("bag", bag(F.col("line"))), "lines")
+
     def verified(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.col("a").alias("line_id")).unionAll(pairs.select("b")).distinct()
-        wanted = bounded_broadcast(stored(wanted, "wanted"))
-        texts = stored(long_lines.select("line_id", "line").join(wanted, "line_id")
-                       .groupBy("line_id").agg(F.min("line").alias("line")), "lines")
         side = lambda s: texts.select(F.col("line_id").alias(s), F.col("line").alias(f"line_{s}"))
         both = pairs.join(side("a"), "a").join(side("b"), "b")
         both = cores(both.where(F.abs(F.length("line_a") - F.length("line_b")) <= edits), "line_a", "line_b", edits)
@@ -185,9 +197,11 @@ def line_links(lines: DataFrame, edits: int, min_chars: int) -> DataFrame:
     inside = meeting.join(many, "place").select("place", F.col("b").alias("node")).join(roots, "node", "left")
     inside = stored(inside.select("place", "node", F.coalesce("root", "node").alias("root")), "members")
     mixed = inside.groupBy("place").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    left = inside.join(mixed.select("place"), "place")
-    right = left.select("place", F.col("node").alias("other"), F.col("root").alias("other_root"))
-    across = left.join(right, "place").where("root < other_root")
+    left = inside.join(mixed.select("place"), "place").join(
+        texts.select(F.col("line_id").alias("node"), "bag"), "node")
+    right = left.select("place", F.col("node").alias("other"), F.col("root").alias("other_root"), F.col("bag").alias("other_bag"))
+    apart = F.aggregate(F.zip_with("bag", "other_bag", lambda x, y: F.abs(x - y)), F.lit(0), lambda n, x: n + x)
+    across = left.join(right, "place").where(F.expr("root < other_root") & (apart <= 2 * edits))
     across = across.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
     rest = stored(across.join(first, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():

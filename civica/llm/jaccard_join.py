@@ -1,6 +1,6 @@
 """N-gram Jaccard join: count vectors in an R-tree, found by lossless partitions.
 
-1. Shingles of a document are hashed into groups; the counts of 64 fixed groups are its
+1. Shingles of a document are hashed into groups; the counts of 128 fixed groups are its
    point. Documents with equal shingle sets are one class from here on.
 2. Two sets of sizes a and b that link differ in at most D = (a + b) * 15 / 185 shingles
    (at 85 %). Hashed into more than D groups, they agree in the whole content of a group,
@@ -30,7 +30,7 @@ from civica.llm.hashing import ODD, SPACED, mix, shingle_set
 
 WIDTH = 4
 PERCENT = 85
-DIMENSIONS = 64
+DIMENSIONS = 128
 LEAF = 16
 BLOCK = 2_000
 MAX_COUNT = np.iinfo(np.uint16).max
@@ -265,13 +265,17 @@ def across(meeting: DataFrame, classes: DataFrame, roots: DataFrame, percent: in
     open_places = members.groupBy("place").agg(
         F.min("root").alias("_low"), F.max("root").alias("_high")).where("_low < _high").select("place")
     blocks = F.ceil((F.col("_n") + 1) / F.lit(BLOCK)).cast("int")
-    members = (members.join(open_places, "place")
+    open_members = members.join(open_places, "place")
+    members = (open_members
                .withColumn("blocks", blocks)
                .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
                .select("place", "node", "root", "own", F.least("own", "other").alias("i"),
                        F.greatest("own", "other").alias("j")))
+    # A pair may meet in many places; it is given where the first common one is looked at.
+    open_for = open_members.groupBy("node").agg(F.collect_list("place").alias("places"))
     members = members.join(classes.select(F.col("set_id").alias("node"), "n_shingles", "point"), "node")
+    members = members.join(open_for, "node")
 
     def tree(frame: pd.DataFrame) -> pd.DataFrame:
         left, right = frame, frame
@@ -281,13 +285,18 @@ def across(meeting: DataFrame, classes: DataFrame, roots: DataFrame, percent: in
         if len(left) and len(right):
             index = CountTree(right["n_shingles"].to_numpy(), points(right["point"]))
             nodes, of = right["node"].to_numpy(), right["root"].to_numpy()
-            for node, root, size, vector in zip(left["node"], left["root"], left["n_shingles"], points(left["point"])):
+            place, there = frame["place"].iloc[0], [set(x) for x in right["places"]]
+            for node, root, size, vector, places in zip(
+                    left["node"], left["root"], left["n_shingles"], points(left["point"]), left["places"]):
                 hits = index.search(size, vector, percent)
                 hits = hits[(of[hits] != root) & ((nodes[hits] > node) | (left is not right))]
-                found += [(min(node, x), max(node, x)) for x in nodes[hits].tolist()]
+                if len(hits):
+                    here = set(places)
+                    found += [(min(node, nodes[k]), max(node, nodes[k])) for k in hits.tolist()
+                              if min(here & there[k]) == place]
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    return members.groupBy("place", "i", "j").applyInPandas(tree, "a bigint, b bigint").distinct()
+    return members.groupBy("place", "i", "j").applyInPandas(tree, "a bigint, b bigint")
 
 
 def linked(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:

@@ -15,6 +15,7 @@ in a table of bounded size. Nothing is shuffled.
 
 from __future__ import annotations
 
+import gc
 import heapq
 from collections.abc import Iterator
 from functools import cache
@@ -34,7 +35,7 @@ SPACE = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT, SEED = 0.1, 13
 PATTERNS, BITS = 16, 64
-REMEMBERED = 600_000
+REMEMBERED = 500_000
 LONG_UNIT = 64
 NO_PIECE = 1 << 60
 
@@ -170,13 +171,14 @@ class Remembered:
 
 
 class Encoder:
-    """Encodes texts and remembers the pieces of units, at most ``remembered`` of them."""
+    """Encodes texts and remembers the pieces of units, at most ``remembered`` varied and
+    twice as many plain ones."""
 
     def __init__(self, pieces: Pieces, dropout: float, seed: int, remembered: int = REMEMBERED):
         self.pieces = pieces
         self.seed = mix(np.array([seed & (1 << 64) - 1], np.uint64))
         self.patterns = patterns(seed, dropout)
-        self.plain, self.varied = Remembered(remembered), Remembered(remembered)
+        self.plain, self.varied = Remembered(2 * remembered), Remembered(remembered)
 
     def _new(self, unit: str) -> tuple[tuple[int, ...], int, int]:
         """Ids without dropout, the bits they depend on, and the bits that varied pieces
@@ -207,16 +209,23 @@ class Encoder:
 
     def _units(self, found: list[str], choice: list[int], out: list[int]) -> None:
         masks, add = self.patterns, out.extend
-        unseen = [unit for unit in set(found) if unit not in self.plain.young and unit not in self.plain.old]
-        if unseen:
-            self._learn(unseen)
-        for unit, k in zip(found, choice):
-            known = self.plain.young.get(unit) or self._new(unit)
+        known = list(map(self.plain.young.get, found))
+        if None in known:
+            missing = {unit for unit, x in zip(found, known) if x is None}
+            unseen = [unit for unit in missing if self.plain.from_old(unit) is None]
+            if unseen:
+                self._learn(unseen)
+            young, old = self.plain.young, self.plain.old
+            known = [x or young.get(unit) or old.get(unit) or self._new(unit) for unit, x in zip(found, known)]
+        varied = self.varied.young.get
+        for unit, (ids, used, low), k in zip(found, known, choice):
             skips = masks[k]
-            if skips & known[1]:
-                add(self.varied.young.get((unit, skips & known[2])) or self._varied(unit, skips, known[2]))
-            else:
-                add(known[0])
+            if skips & used:
+                ids = varied((unit, skips & low))
+                if ids is None:
+                    ids = self._varied(unit, skips, low)
+                    varied = self.varied.young.get
+            add(ids)
 
     def encode(self, text: str, key: int) -> list[int]:
         """Ids of a text; ``key`` is its identity in the choice of patterns."""
@@ -266,10 +275,12 @@ def encoded(docs: DataFrame, model_path: str = MODEL, dropout: float = DROPOUT,
             for at in range(0, len(whole), 256):  # bounds the ids held as Python numbers
                 batch = whole.slice(at, 256)
                 lists, same = [], []
+                gc.disable()  # the remembered pieces hold no cycles, and walking them is dear
                 for key, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                     ids = None if text is None else encoder.encode(text, key)
                     same.append(None if ids is None else encoder.pieces.decode(ids) == text)
                     lists.append(None if ids is None else np.array(ids, np.int32))
+                gc.enable()
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array(lists, pa.list_(pa.int32())),
                      pa.array([0 if x is None else len(x) for x in lists], pa.int64()), pa.array(same, pa.bool_())],

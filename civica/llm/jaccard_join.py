@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from civica.llm.common import bounded_broadcast, components, stored
@@ -33,7 +33,9 @@ PERCENT = 85
 DIMENSIONS = 128
 LEAF = 16
 BLOCK = 2_000
-MAX_COUNT = np.iinfo(np.uint16).max
+SMALL = 4_096
+MAX_COUNT = np.iinfo(np.uint8).max
+FIRST_PLACES = 24
 
 SKETCH = ("doc_id bigint, text_key bigint, n_shingles bigint, set_id bigint, point binary, "
           "content array<bigint>")
@@ -102,7 +104,7 @@ def point_of(found: np.ndarray, dimensions: int) -> np.ndarray:
     counts = np.bincount((mix(found + ODD) % np.uint64(dimensions)).astype(np.int64), minlength=dimensions)
     # A full coordinate keeps its bound safe: it is clipped on both sides alike, and
     # what is cut off is added back by bound().
-    return np.minimum(counts, MAX_COUNT).astype(np.uint16)
+    return np.minimum(counts, MAX_COUNT).astype(np.uint8)
 
 
 def sketches(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -158,7 +160,7 @@ def meetings(places: DataFrame) -> DataFrame:
 def bound(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """The most shingles that points can share: the sum of coordinate minima.
 
-    A clipped coordinate (a count of 65,535) says nothing, so it allows any overlap.
+    A clipped coordinate (a count of 255) says nothing, so it allows any overlap.
     """
     low = np.minimum(x, y)
     total = low.sum(axis=-1, dtype=np.int64)
@@ -166,7 +168,7 @@ def bound(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def points(column: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(column), np.uint16).reshape(len(column), -1)
+    return np.frombuffer(b"".join(column), np.uint8).reshape(len(column), -1)
 
 
 def passing(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -272,31 +274,57 @@ def across(meeting: DataFrame, classes: DataFrame, roots: DataFrame, percent: in
                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
                .select("place", "node", "root", "own", F.least("own", "other").alias("i"),
                        F.greatest("own", "other").alias("j")))
-    # A pair may meet in many places; it is given where the first common one is looked at.
-    open_for = open_members.groupBy("node").agg(F.collect_list("place").alias("places"))
+    # A pair may meet in many places. Each class knows its smallest ones, a fixed number;
+    # where two classes share some of these, only the first shared one gives the pair.
+    nth = F.row_number().over(Window.partitionBy("node").orderBy("place"))
+    open_for = open_members.select("node", "place").withColumn("nth", nth).where(F.col("nth") <= FIRST_PLACES)
+    open_for = open_for.groupBy("node").agg(F.collect_list("place").alias("places"))
     members = members.join(classes.select(F.col("set_id").alias("node"), "n_shingles", "point"), "node")
     members = members.join(open_for, "node")
 
-    def tree(frame: pd.DataFrame) -> pd.DataFrame:
-        left, right = frame, frame
-        if frame["i"].iloc[0] != frame["j"].iloc[0]:
-            left, right = frame[frame["own"] == frame["i"]], frame[frame["own"] == frame["j"]]
+    def tried(frame: pd.DataFrame) -> list[tuple[int, int]]:
+        """The pairs of one place and pair of blocks."""
+        own, node, root = (frame[c].to_numpy() for c in ("own", "node", "root"))
+        sizes, vectors = frame["n_shingles"].to_numpy(), points(frame["point"])
+        known = [set(x) for x in frame["places"]]
+        place, i, j = (frame[c].iloc[0] for c in ("place", "i", "j"))
+        left = np.flatnonzero(own == i)
+        right = left if i == j else np.flatnonzero(own == j)
+        if not len(left) or not len(right):
+            return []
+        if len(left) * len(right) <= SMALL:  # as one leaf
+            met = bound(vectors[left][:, None, :], vectors[right][None, :, :]) >= needed_overlap(
+                sizes[left][:, None], sizes[right][None, :], percent)
+            pairs = zip(*(x[y].tolist() for x, y in zip((left, right), np.nonzero(met))))
+        else:
+            index = CountTree(sizes[right], vectors[right])
+            pairs = ((x, y) for x in left.tolist() for y in right[index.search(sizes[x], vectors[x], percent)].tolist())
         found = []
-        if len(left) and len(right):
-            index = CountTree(right["n_shingles"].to_numpy(), points(right["point"]))
-            nodes, of = right["node"].to_numpy(), right["root"].to_numpy()
-            place, there = frame["place"].iloc[0], [set(x) for x in right["places"]]
-            for node, root, size, vector, places in zip(
-                    left["node"], left["root"], left["n_shingles"], points(left["point"]), left["places"]):
-                hits = index.search(size, vector, percent)
-                hits = hits[(of[hits] != root) & ((nodes[hits] > node) | (left is not right))]
-                if len(hits):
-                    here = set(places)
-                    found += [(min(node, nodes[k]), max(node, nodes[k])) for k in hits.tolist()
-                              if min(here & there[k]) == place]
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
-
-    return members.groupBy("place", "i", "j").applyInPandas(tree, "a bigint, b bigint")
+        for x, y in pairs:
+            if root[x] == root[y] or i == j and node[x] >= node[y]:
+                continue
+            shared = known[x] & known[y]
+            if not shared or min(shared) == place:
+                found.append((min(node[x], node[y]), max(node[x], node[y])))
+        return found
+
+    def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
+        for frame in frames:
+            if rest is not None:
+                frame = pd.concat([rest, frame], ignore_index=True)
+            if not len(frame):
+                continue
+            keys = frame[["place", "i", "j"]].to_numpy()
+            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist()]
+            rest = frame.iloc[cuts[-1]:]  # may go on in the next batch
+            found = [pair for a, b in zip(cuts, cuts[1:]) for pair in tried(frame.iloc[a:b])]
+            yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+        if rest is not None:
+            yield pd.DataFrame(tried(rest), columns=["a", "b"], dtype="int64")
+
+    dealt = members.repartition("place", "i", "j").sortWithinPartitions("place", "i", "j")
+    return dealt.mapInPandas(walk, "a bigint, b bigint").distinct()
 
 
 def linked(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:

@@ -197,11 +197,17 @@ def line_links(lines: DataFrame, edits: int, min_chars: int) -> DataFrame:
     inside = meeting.join(many, "place").select("place", F.col("b").alias("node")).join(roots, "node", "left")
     inside = stored(inside.select("place", "node", F.coalesce("root", "node").alias("root")), "members")
     mixed = inside.groupBy("place").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    left = inside.join(mixed.select("place"), "place").join(
+    left = stored(inside.join(mixed.select("place"), "place"), "members")
+    # A line has few places; a pair that shares several leaves the join at the first.
+    known = left.groupBy("node").agg(F.collect_list("place").alias("places")).join(
         texts.select(F.col("line_id").alias("node"), "bag"), "node")
-    right = left.select("place", F.col("node").alias("other"), F.col("root").alias("other_root"), F.col("bag").alias("other_bag"))
+    left = left.join(known, "node")
+    right = left.select("place", F.col("node").alias("other"), F.col("root").alias("other_root"),
+                        F.col("bag").alias("other_bag"), F.col("places").alias("other_places"))
     apart = F.aggregate(F.zip_with("bag", "other_bag", lambda x, y: F.abs(x - y)), F.lit(0), lambda n, x: n + x)
-    across = left.join(right, "place").where(F.expr("root < other_root") & (apart <= 2 * edits))
+    across = left.join(right, "place").where(
+        F.expr("root < other_root") & (apart <= 2 * edits)
+        & (F.array_min(F.array_intersect("places", "other_places")) == F.col("place")))
     across = across.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
     rest = stored(across.join(first, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():

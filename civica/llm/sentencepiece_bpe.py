@@ -35,7 +35,7 @@ SPACE = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT, SEED = 0.1, 13
 PATTERNS, BITS = 16, 64
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 LONG_UNIT = 64
 NO_PIECE = 1 << 60
 

@@ -255,16 +255,17 @@ def deduplicated(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS
     same = docs["doc_id"].cast("bigint").eqNullSafe(kept["_id"]) & (F.xxhash64(text) == kept["_key"])
     columns = [docs[c] for c in docs.columns if c not in ("n_lines", "n_kept", "n_near")]
     joined = docs.join(kept, same, "left").select(
-        F.struct(*columns).alias("_row"), F.split(text, "\n", -1).alias("_lines"), "kept", "n_near")
+        F.struct(*columns).alias("_row"), F.split(text, "\n", -1).alias("_lines"),
+        kept["kept"].alias("_kept"), kept["n_near"].alias("_near"))
     joined = joined.withColumn("_blank", F.filter(
         F.transform("_lines", lambda x, i: F.when(trimmed(x) == "", i)), lambda i: i.isNotNull()))
     none = F.array().cast("array<int>")
-    stay = F.array_sort(F.concat(F.coalesce("kept", none), F.coalesce("_blank", none)))
+    stay = F.array_sort(F.concat(F.coalesce("_kept", none), F.coalesce("_blank", none)))
     stayed = F.array_join(F.transform(stay, lambda i: F.get("_lines", i)), "\n")
     result = joined.withColumn("_text", F.when(F.col("_lines").isNotNull(), stayed)).withColumn(
         "_row", F.col("_row").withField("text", F.col("_text")))
     return result.select(
         "_row.*",
         F.coalesce(F.size("_lines") - F.size("_blank"), F.lit(0)).cast("bigint").alias("n_lines"),
-        F.coalesce(F.size("kept"), F.lit(0)).cast("bigint").alias("n_kept"),
-        F.coalesce("n_near", F.lit(0)).cast("bigint").alias("n_near"))
+        F.coalesce(F.size("_kept"), F.lit(0)).cast("bigint").alias("n_kept"),
+        F.coalesce("_near", F.lit(0)).cast("bigint").alias("n_near"))

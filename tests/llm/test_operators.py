@@ -1,0 +1,171 @@
+"""The operators against brute force, and on odd rows."""
+
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from civica.llm import (
+    chat_format,
+    decontamination,
+    jaccard_join,
+    language_id,
+    license_scan,
+    line_dedup,
+    quality,
+    sentencepiece_bpe,
+    topk_search,
+    url_filter,
+)
+
+TEXT = "doc_id long, text string, root string, place string"
+ODD = [(1, None, "x", "y"), (2, "", "x", "y"), (None, "one two three four five six", "x", "y"),
+       (3, "one two three four five six", "x", "y"), (3, "one two three four five six", "x", "y"),
+       (4, "a" * 50_000, "x", "y"), (5, "Mit LICENSE and cc by", "x", "y")]
+
+
+@pytest.fixture
+def odd(spark):
+    return spark.createDataFrame(ODD, TEXT)
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        above, row = row, [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(above[j] + 1, row[-1] + 1, above[j - 1] + (x != y)))
+    return row[-1]
+
+
+def test_top_k(spark, rows):
+    r = random.Random(1)
+    vectors = [(k, [r.uniform(-1, 1) for _ in range(6)]) for k in range(120)]
+    vectors += [(k, vectors[3][1]) for k in range(200, 260)]
+    given = vectors + [(300, None), (301, [1.0, None]), (302, [float("nan")] * 6), (None, [0.0] * 6), vectors[0]]
+    frame = spark.createDataFrame(given, "vec_id long, embedding array<double>")
+    got = rows(topk_search.top_k(frame.where("vec_id % 50 = 0"), frame), "query_id", "rank", "vec_id", "score")
+    whole = {k: [int(256 * x // 1) for x in v] for k, v in vectors}
+    want = []
+    for q in (k for k in whole if k % 50 == 0):
+        best = sorted((-sum(x * y for x, y in zip(whole[q], v)), k) for k, v in whole.items() if k != q)[:5]
+        want += [(q, n, k, -s) for n, (s, k) in enumerate(best, 1)]
+    assert got == sorted(want, key=repr)
+
+
+def test_license_scan(odd):
+    found = {r.doc_id: r for r in license_scan.scanned(odd).collect()}
+    assert found[1].n_words == 0 and found[1].labels == "" and found[1].first_word is None
+    assert (found[5].n_base, found[5].first_word, found[5].last_word, found[5].base_labels) == (2, 0, 3, "cc-by,mit")
+
+
+def test_sentencepiece_round_trip(spark, odd):
+    texts = ["a▁b", "  two  spaces ", "日本語 é\n\t\x00", "", None, "word " * 50]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    tokens = sentencepiece_bpe.encoded(frame)
+    back = {r.doc_id: r.text for r in sentencepiece_bpe.decoded(tokens).collect()}
+    assert back == dict(enumerate(texts))
+    assert {r.lossless for r in sentencepiece_bpe.encoded(odd).collect()} == {True, None}
+    plain = {r.doc_id: r.ids for r in sentencepiece_bpe.encoded(frame, dropout=0.0).collect()}
+    assert plain[5] != {r.doc_id: r.ids for r in tokens.collect()}[5]
+
+
+def test_edit_distance(spark):
+    r = random.Random(2)
+    pairs = []
+    for _ in range(200):
+        a = [r.choice("ab ") for _ in range(r.randrange(16, 24))]
+        b = list(a)
+        for _ in range(r.randrange(4)):
+            b[r.randrange(len(b))] = r.choice("abc")
+        pairs.append(("".join(a), "".join(b[r.randrange(2):])))
+    frame = line_dedup.stored(line_dedup.cores(spark.createDataFrame(pairs, "a string, b string").coalesce(1), "a", "b", 2), "cores")
+    got = [x[0] for x in frame.select(line_dedup.within_edits(F.col("a"), F.col("b"), 2)).collect()]
+    assert got == [distance(a, b) <= 2 for a, b in pairs]
+
+
+def test_line_dedup(spark, rows):
+    docs = [(1, "same line of some length\nfirst"), (2, "same line of sone length\nsecond\n\n"), (3, "first"), (4, None)]
+    found = line_dedup.deduplicated(spark.createDataFrame(docs, "doc_id long, text string").withColumn("kept", F.lit(1)))
+    assert {r.doc_id: (r.text, r.n_lines, r.n_kept, r.n_near) for r in found.collect()} == {
+        1: (docs[0][1], 2, 2, 0), 2: ("second\n\n", 2, 1, 1), 3: ("", 1, 0, 0), 4: (None, 0, 0, 0)}
+
+
+def test_url_filter(spark):
+    urls = ["https://a.example.org/es/1", "http://EXAMPLE.org/en/12", "x", None, "http://ads-track.example.net/a",
+            "http://x.com/de/", "http://q.net/login", "http://q.net/docs/login?x", "http://org"]
+    found = url_filter.judged(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"))
+    assert [(r.host, r.rule, r.verdict) for r in found.orderBy("page_id").collect()] == [
+        ("a.example.org", "example.org/es/", "block"), ("example.org", "example.org/en/1", "allow"), ("", None, "allow"),
+        ("", None, "allow"), ("ads-track.example.net", None, "block"), ("x.com", "com/de/", "block"),
+        ("q.net", None, "block"), ("q.net", None, "allow"), ("org", None, "allow")]
+
+
+def test_quality_held_out(spark):
+    base = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{base}/documents.parquet"), spark.read.parquet(f"{base}/labels.parquet")
+    joined = quality.quality_scores(docs, labels, trees=5).join(labels, "doc_id").where("held_out")
+    assert joined.where("predicted = quality").count() >= 0.9 * joined.count()
+
+
+def test_quality_without_labels(spark, odd):
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    assert {r.score for r in quality.quality_scores(odd, none).collect()} == {0.5}
+
+
+def test_language(spark):
+    docs = spark.createDataFrame([(n, t, lang) for n in range(5) for t, lang in (
+        ("the cat and the dog of the house", "en"), ("le chat et le chien de la maison", "fr"))], "doc_id long, text string, lang string")
+    pages = spark.createDataFrame([(1, "http://a.fr/", "<html lang=fr><p>la maison de le chien"), (2, None, None),
+                                   (3, "http://b.uk/", "the house of the dog")], "page_id long, url string, html string")
+    found = {r.page_id: r.lang for r in language_id.identified(pages, docs).collect()}
+    assert (found[1], found[3]) == ("fr", "en") and found[2] is not None
+    assert language_id.identified(pages.limit(0), docs).count() == 0
+
+
+def brute_components(docs):
+    sets = []
+    for k, text in docs:
+        words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower())
+        sets.append((k, {tuple(words[i: i + 4]) for i in range(max(1, len(words) - 3))} if words else set()))
+    root = {k: k for k, _ in sets}
+    changed = True
+    while changed:
+        changed = False
+        for a, x in sets:
+            for b, y in sets:
+                if x and y and 100 * len(x & y) >= 85 * len(x | y) and root[a] < root[b]:
+                    root[b], changed = root[a], True
+    return sorted(((k, len(x), root[k]) for k, x in sets), key=repr)
+
+
+def test_jaccard_join(spark, rows):
+    r, docs = random.Random(4), []
+    for size in (2, 6, 8, 13, 20, 45, 90):
+        base = [f"w{r.randrange(900)}" for _ in range(size)]
+        for _ in range(9):
+            other = list(base)
+            for _ in range(r.choice([0, 1, 1, 2])):
+                other[r.randrange(size)] = f"w{r.randrange(900)}"
+            docs.append((len(docs), " ".join(other)))
+    docs += [(900, None), (901, ""), (902, " ")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert rows(jaccard_join.linked(frame), "doc_id", "n_shingles", "component_id") == brute_components(docs)
+
+
+def test_chat(spark):
+    chats = [(1, 0, "user", "Hello there my friend.\nHow do you do?"), (1, 1, "assistant", "> hello THERE, my friend\nFine."),
+             (1, 2, "user", ">> Hello there my friend.\n> Fine.\nAh."), (2, 0, None, None), (None, 1, "user", "> x\ny")]
+    found = chat_format.formatted(spark.createDataFrame(chats, "conv_id long, turn long, role string, text string"))
+    assert {(r.conv_id, r.turn): (r.parent, r.root, r.depth, r.text) for r in found.collect()} == {
+        (1, 0): (None, 0, 0, chats[0][3]), (1, 1): (0, 0, 1, "Fine."), (1, 2): (0, 0, 1, "Ah."), (2, 0): (None, 0, 0, ""),
+        (None, 1): (None, 1, 0, "y")}
+
+
+def test_decontamination(spark, odd, rows):
+    items = spark.createDataFrame([(7, "One, two three. Four five SIX"), (8, "short"), (9, None)], "item_id long, text string")
+    found = decontamination.contained_items(odd, items, block_items=1)
+    assert rows(found, "doc_id", "item_id", "n_shared") == [(3, 7, 2), (3, 7, 2), (None, 7, 2)]
+    assert decontamination.decontaminated(odd, items).columns == odd.columns
+    assert decontamination.decontaminated(odd, items).count() == len(ODD) - 3

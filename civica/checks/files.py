@@ -165,6 +165,16 @@ def sample_head(spark, sf):
     return files.read_csv(spark, path, ",", schema)
 
 
+@check("output_all", sql("""
+    SELECT property_id, district, neighborhood, price FROM listing""", "listing"))
+def output_all(spark, sf):
+    path = scratch_path(spark, "output_all")
+    listing = fx.listing(spark, sf).select("property_id", "district", "neighborhood", "price")
+    exports.export_all(listing, path)
+    schema = "property_id bigint, district string, neighborhood string, price double"
+    return files.read_csv(spark, path, ",", schema)
+
+
 def _raw_zone(spark, sf) -> batch.RawZone:
     """The fixtures written out as the raw files that the batch run expects."""
     base = scratch_path(spark, "raw_zone")

@@ -21,6 +21,9 @@ HOT_COPIES = 64
 SALT = "__salt"
 HASH = "__hash"
 
+# Join types that return right rows without a match.
+KEEPS_RIGHT = {"right", "rightouter", "full", "fullouter", "outer"}
+
 
 def _width(field: T.StructField) -> Column:
     """Bytes of one value, near enough for a broadcast decision."""
@@ -67,10 +70,14 @@ def spread_join(
 
     Left rows of a hot key take one of ``copies`` salts and the matching right rows
     are repeated once per salt, so every pair still meets exactly once. A hot NULL key
-    is spread as well. The salt is a hash of the row, or of the columns in ``spread_by``
+    is spread as well. Joins that keep unmatched right rows are left to adaptive
+    execution. The salt is a hash of the row, or of the columns in ``spread_by``
     (an identifier, say, which saves reading the others), so that a retried task
     computes the same one.
     """
+    # A repeated right row that meets no left row would come out once for every salt.
+    if how.lower().replace("_", "") in KEEPS_RIGHT:
+        return left.join(right, list(keys), how)
     # Keys of different types can be equal and still hash differently.
     alike = all(left.schema[key].dataType == right.schema[key].dataType for key in keys)
     hot = _hot_hashes(left, keys, share) if alike else []

@@ -25,7 +25,12 @@ def export_csv(df: DataFrame, path: str, order: Sequence[str] = ()) -> None:
     _write_csv(single.sortWithinPartitions(*order) if order else single, path)
 
 
-def export_head(df: DataFrame, path: str, order: Sequence[str], rows: int = 100) -> None:
+def export_all(df: DataFrame, path: str) -> None:
+    """Write every row as CSV files with a header, in parallel."""
+    _write_csv(df, path)
+
+
+def export_head(df: DataFrame, path: str, order: Sequence[str], rows: int) -> None:
     """Write the first ``rows`` rows, by ``order``, as one CSV file."""
     _write_csv(df.orderBy(*order).limit(rows), path)
 
@@ -64,7 +69,8 @@ def csv_to_json(
 ) -> None:
     """Convert the CSV files of a folder to JSON records, one output folder per file.
 
-    The files must share their columns. Values stay text unless a schema is given.
+    The files must share their columns, in one order; a file whose header disagrees
+    raises. Values stay text unless a schema is given.
     """
     frame = read_csv(spark, source, delimiter, schema)
     stem = F.regexp_replace(F.col("_metadata.file_name"), r"\.csv$", "")

@@ -42,8 +42,9 @@ def read_csv(
     spark: SparkSession, path: str, delimiter: str = ";", schema: Schema | None = None
 ) -> DataFrame:
     """CSV with a header. Quotes inside a quoted value are doubled, so names that hold
-    quotes and commas stay in one column. Without a schema all columns are text."""
-    reader = spark.read.option("header", True).option("sep", delimiter).option("escape", '"')
+    quotes and commas stay in one column. Without a schema all columns are text. A header
+    that disagrees with the schema, or with that of the first file, raises."""
+    reader = spark.read.option("enforceSchema", False).option("header", True).option("sep", delimiter).option("escape", '"')
     return (reader.schema(schema) if schema else reader).csv(path)
 
 

@@ -88,7 +88,7 @@ def _dashboard(spark, sf):
 
 
 def _related(spark, sf):
-    return sheets.dashboard_relate(fx.metrics_text(spark, sf), fx.correlation_text(spark, sf))
+    return sheets.dashboard_relate(_dashboard(spark, sf), fx.correlation_text(spark, sf))
 
 
 def _shapes_as_text(df):

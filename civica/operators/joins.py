@@ -44,7 +44,22 @@ def fits_broadcast(
     return size["rows"] <= max_rows and (size["bytes"] or 0) <= max_bytes
 
 
-def _hot_hashes(df: DataFrame, keys: Sequence[str], share: float) -> list[int]:
+def _hashable_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> list[Column]:
+    """The keys such that equal ones hash alike on both sides: whole numbers of different
+    width as the widest. None at all where other types differ."""
+    parts = []
+    for key in keys:
+        types = [df.schema[key].dataType for df in (left, right)]
+        if types[0] == types[1]:
+            parts.append(F.col(key))
+        elif all(isinstance(t, T.IntegralType) for t in types):
+            parts.append(F.col(key).cast("bigint"))
+        else:
+            return []
+    return parts
+
+
+def _hot_hashes(df: DataFrame, keys: Sequence[str | Column], share: float) -> list[int]:
     """Hashes of the keys that hold at least ``share`` of the rows, in one pass.
 
     The frequent-items sketch has a fixed size and finds every item of such a share;
@@ -78,12 +93,11 @@ def spread_join(
     # A repeated right row that meets no left row would come out once for every salt.
     if how.lower().replace("_", "") in KEEPS_RIGHT:
         return left.join(right, list(keys), how)
-    # Keys of different types can be equal and still hash differently.
-    alike = all(left.schema[key].dataType == right.schema[key].dataType for key in keys)
-    hot = _hot_hashes(left, keys, share) if alike else []
+    hashable_keys = _hashable_keys(left, right, keys)
+    hot = _hot_hashes(left, hashable_keys, share) if hashable_keys else []
     if not hot:
         return left.join(right, list(keys), how)
-    is_hot = F.xxhash64(*keys).isin(hot)
+    is_hot = F.xxhash64(*hashable_keys).isin(hot)
     hashable = [f.name for f in left.schema.fields if not isinstance(f.dataType, T.MapType)]
     hashed = F.hash(*[f"`{name}`" for name in spread_by or hashable])
     salt = F.pmod(hashed, F.lit(copies))

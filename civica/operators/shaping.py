@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -48,15 +48,52 @@ def first_record(df: DataFrame, column: str, fields: Sequence[str]) -> DataFrame
     return df.withColumns({name: record.getField(name) for name in fields}).drop(column)
 
 
+def _same_name(df: DataFrame) -> Callable[[str], str]:
+    """Maps names that Spark takes for one to the same text."""
+    exact = df.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+    return str if exact else str.lower
+
+
+def _drifted(frames: Sequence[DataFrame]) -> set[str]:
+    """Columns to unite as text: the frames disagree on a type, and not all are numbers.
+    Nested columns are left to Spark."""
+    same, types = _same_name(frames[0]), {}
+    for frame in frames:
+        for field in frame.schema.fields:
+            if not isinstance(field.dataType, T.NullType):
+                types.setdefault(same(field.name), set()).add(field.dataType)
+    nested = (T.ArrayType, T.MapType, T.StructType)
+    return {
+        name for name, found in types.items()
+        if len(found) > 1
+        and not all(isinstance(t, T.NumericType) for t in found)
+        and not any(isinstance(t, nested) for t in found)
+    }
+
+
 def union_frames(frames: Sequence[DataFrame]) -> DataFrame:
-    """All rows of all frames, columns matched by name, missing ones NULL."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    """All rows of all frames, columns matched by name, missing ones NULL.
+
+    Numbers of different types take the wider one. A column that is text or a date in
+    one frame and something else in another becomes text, so no value is lost.
+    """
+    same, drifted = _same_name(frames[0]), _drifted(frames)
+
+    def alike(frame: DataFrame) -> DataFrame:
+        names = [name for name in frame.columns if same(name) in drifted]
+        return frame.withColumns({n: F.col(f"`{n}`").cast("string") for n in names}) if names else frame
+
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), map(alike, frames))
 
 
 def align_union(frames: Sequence[DataFrame]) -> DataFrame:
-    """Union over the union of all columns, in sorted column order."""
-    columns = sorted({name for frame in frames for name in frame.columns})
-    return union_frames(frames).select(*columns)
+    """Union over the union of all columns, in sorted column order. Names that differ in
+    case alone are one column, under its first spelling."""
+    same, names = _same_name(frames[0]), {}
+    for frame in frames:
+        for name in frame.columns:
+            names.setdefault(same(name), name)
+    return union_frames(frames).select(*[F.col(f"`{name}`").alias(name) for name in sorted(names.values())])
 
 
 def align_types(df: DataFrame, target: T.StructType) -> DataFrame:

@@ -22,11 +22,13 @@ def with_split(
     """Mark each row ``train`` or ``test`` by a hash of its key.
 
     A row's part depends on its key alone, so it is the same in every run and for any
-    partitioning of the data.
+    partitioning of the data. A row without a key raises when it is read.
     """
     digest = F.substring(F.md5(F.col(key).cast("string")), 1, 8)
     slot = F.pmod(F.conv(digest, 16, 10).cast("long"), F.lit(100))
-    return df.withColumn(out, F.when(slot < percent, "train").otherwise("test"))
+    missing = F.raise_error(F.lit(f"a row without {key} can't be split"))
+    part = F.when(F.col(key).isNull(), missing).when(slot < percent, "train").otherwise("test")
+    return df.withColumn(out, part)
 
 
 def split(df: DataFrame, key: str, percent: int = fv.TRAIN_PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -41,9 +43,10 @@ def stored_split(
     """Training and test rows, written to ``path`` once and read from there.
 
     Fitting passes over the training rows several times. Read from a table, each pass
-    costs a scan of the columns it needs instead of the joins that made the rows.
+    costs a scan of the columns it needs, in the files of its part, instead of the joins
+    that made the rows.
     """
-    with_split(df, key, percent, PART).write.mode("overwrite").parquet(path)
+    with_split(df, key, percent, PART).write.mode("overwrite").partitionBy(PART).parquet(path)
     stored = df.sparkSession.read.parquet(path)
     train, test = (stored.where(F.col(PART) == part) for part in ("train", "test"))
     return train.drop(PART), test.drop(PART)

@@ -28,12 +28,15 @@ def dashboard_join(metrics: DataFrame, geometry: DataFrame, parties: DataFrame)
     return metrics.join(shapes, "district").join(votes, "district")
 
 
-def dashboard_relate(metrics: DataFrame, correlations: DataFrame) -> DataFrame:
-    """Metrics of each district, with its correlation where there is one."""
-    one_each = metrics.groupBy("district").agg(
-        F.max("avg_price").alias("avg_price"), F.max("participation").alias("participation"))
-    linked = correlations.groupBy("district").agg(F.max("correlation").alias("correlation"))
-    return one_each.join(linked, "district", "left")
+def dashboard_relate(dashboard: DataFrame, correlations: DataFrame) -> DataFrame:
+    """Metrics of each district on the dashboard, with all its correlations.
+
+    Takes the joined rows, so a district without a shape or a winning party does not
+    appear. Rows that the join only repeated come once; a district without a
+    correlation keeps its row.
+    """
+    metrics = dashboard.select("district", "avg_price", "participation").distinct()
+    return metrics.join(correlations.select("district", "correlation"), "district", "left")
 
 
 def sheet_price(dashboard: DataFrame) -> DataFrame:
@@ -53,9 +56,12 @@ def sheet_participation(dashboard: DataFrame) -> DataFrame:
 
 
 def sheet_correlation(related: DataFrame) -> DataFrame:
-    """Correlation per district with the step of the colour scale it falls in."""
+    """Correlations per district with the step of the colour scale they fall in.
+
+    The correlation is a dimension of the sheet: each value of a district is one row.
+    """
     value = parse_decimal_comma(F.col("correlation"))
-    parsed = related.select("district", value.alias("correlation"))
+    parsed = related.select("district", value.alias("correlation")).distinct()
     return parsed.withColumn("step", step_class(F.col("correlation")))
 
 

@@ -6,10 +6,14 @@ import logging
 import re
 from collections.abc import Mapping
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from civica.operators.shaping import union_frames
+
 log = logging.getLogger(__name__)
 
 Schema = T.StructType | str
@@ -28,14 +32,14 @@ def path_below(path: Column, folder: str, part: str = "[^/]+") -> Column:
 
 
 def list_entries(spark: SparkSession, folder: str) -> list[str]:
-    """Names of the files and file folders in ``folder``; hidden ones are left out.
+    """Names of the files and folders in ``folder``, without those that start with a dot.
 
-    Spark does the listing, so any file system it can reach will do. Only names are
-    read, never content.
+    The file system that Spark uses for the path does the listing, in one call.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    names = files.select(path_below(F.col("path"), folder).alias("name")).distinct()
-    return sorted(row["name"] for row in names.collect())
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    listed = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    names = (entry.getPath().getName() for entry in listed)
+    return sorted(name for name in names if not name.startswith("."))
 
 
 def read_csv(
@@ -69,7 +73,8 @@ def load_files(
 ) -> dict[str, DataFrame]:
     """One frame per entry of ``folder``, keyed by its name and read by its extension.
 
-    Other formats are reported and skipped. ``schemas`` maps entry names or extensions
+    Other formats, and names that Spark's readers pass over (``_`` in front), are
+    reported and skipped. ``schemas`` maps entry names or extensions
     to schemas; a JSON file with one needs no inference pass over its data.
     """
     schemas = schemas or {}
@@ -77,7 +82,9 @@ def load_files(
     for name in list_entries(spark, folder):
         path, extension = f"{folder.rstrip('/')}/{name}", name.rpartition(".")[2]
         schema = schemas.get(name, schemas.get(extension))
-        if extension == "json":
+        if name.startswith("_"):
+            log.warning("skipped %s: Spark reads no file of such a name", name)
+        elif extension == "json":
             frames[name] = read_json(spark, path, schema, multi_line)
         elif extension == "csv":
             frames[name] = read_csv(spark, path, delimiter, schema)
@@ -97,20 +104,44 @@ def load_snapshots(
     """All Parquet files of all snapshot folders as one frame.
 
     The folder name becomes a column. Schemas of the snapshots are merged; pass a
-    schema to spare the pass over all file footers.
+    schema to spare the pass over all file footers. Where a column's types have no
+    common one, snapshots are read by groups of equal schema and the column becomes what
+    ``union_frames`` makes of it.
     """
     reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
     reader = reader.schema(schema) if schema else reader.option("mergeSchema", True)
     # File paths are percent-encoded, and a plus sign in them is a plus sign.
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    return reader.parquet(folder).withColumn(out, path_below(path, folder))
+
+    def named(frame: DataFrame) -> DataFrame:
+        return frame.withColumn(out, path_below(path, folder))
+
+    try:
+        return named(reader.parquet(folder))
+    except (PySparkException, Py4JJavaError) as error:  # raised by a task, so not always wrapped
+        if "CANNOT_MERGE" not in str(error):
+            raise
+    alike: dict[str, list[str]] = {}
+    for name in list_entries(spark, folder):
+        if not name.startswith("_"):
+            place = f"{folder.rstrip('/')}/{name}"
+            alike.setdefault(reader.parquet(place).schema.json(), []).append(place)
+    return union_frames([named(reader.parquet(*places)) for places in alike.values()])
 
 
 def register(frames: Mapping[str, DataFrame], prefix: str = "") -> list[str]:
-    """Make each frame a temporary view, so that a domain's data can be used from SQL."""
-    views = []
+    """Make each frame a temporary view, so that a domain's data can be used from SQL.
+
+    The view is named as the file without its extension; what no name may hold becomes
+    an underscore, and a digit in front gets one. Files that would share a name raise.
+    """
+    views: dict[str, DataFrame] = {}
     for name, frame in frames.items():
-        view = prefix + name.split(".")[0]
+        view = re.sub(r"\W", "_", prefix + name.split(".")[0], flags=re.ASCII)
+        view = f"_{view}" if view[:1].isdigit() else view
+        if view.lower() in map(str.lower, views):
+            raise ValueError(f"several files would be the view {view}")
+        views[view] = frame
+    for view, frame in views.items():
         frame.createOrReplaceTempView(view)
-        views.append(view)
-    return views
+    return list(views)

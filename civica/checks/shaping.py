@@ -27,11 +27,11 @@ def project(spark, sf):
 @check("drop_cols", sql("""
     SELECT lower(district) AS district, lower(neighborhood) AS neighborhood, property_id,
            price, bathrooms, size
-    FROM listing WHERE property_id % 2 = 0""", "listing"))
+    FROM listing""", "listing"))
 def drop_cols(spark, sf):
-    even = fx.raw_listings(spark, sf)[1]
-    unwanted = [*LISTING_CONSTANT_COLUMNS, "priceByArea", "detailedType", "absent"]
-    return shaping.drop_columns(even, unwanted)
+    unwanted = [*LISTING_CONSTANT_COLUMNS, "priceByArea", "parkingSpace", "detailedType", "absent"]
+    return shaping.union_frames(
+        [shaping.drop_columns(frame, unwanted) for frame in fx.raw_listings(spark, sf)])
 
 
 @check("ratio", """
@@ -54,12 +54,18 @@ def recast(spark, sf):
 
 
 @check("flatten_struct", sql("""
-    SELECT property_id, price, o_orderstatus AS typology, o_orderpriority AS "subTypology"
-    FROM listing WHERE property_id % 2 = 0""", "listing"))
+    SELECT property_id, price,
+           CASE WHEN property_id % 2 = 1 THEN property_id % 3 = 1 END AS "hasParking",
+           CASE WHEN property_id % 2 = 1 THEN property_id % 5 * 10 END AS "parkingPrice",
+           CASE WHEN property_id % 2 = 0 THEN o_orderstatus END AS typology,
+           CASE WHEN property_id % 2 = 0 THEN o_orderpriority END AS "subTypology"
+    FROM listing""", "listing"))
 def flatten_struct(spark, sf):
-    even = fx.raw_listings(spark, sf)[1].select("property_id", "price", "detailedType")
-    flat = shaping.flatten_struct(even, "detailedType")
-    return shaping.flatten_struct(flat, "suggestedTexts")
+    flat = []
+    for frame, column in zip(fx.raw_listings(spark, sf), ("parkingSpace", "detailedType")):
+        lifted = shaping.flatten_struct(frame.select("property_id", "price", column), column)
+        flat.append(shaping.flatten_struct(lifted, "suggestedTexts"))
+    return shaping.union_frames(flat)
 
 
 @check("array_first", sql("""

@@ -1,10 +1,12 @@
 """License scans by a positional index of rare words; DataFrame functions only.
 
-Of every template the words that are rarest over all documents are its probes. A
-document's licence words of the highest inverse document frequency are looked up in the
+Of every template the words that are rarest over all documents are its probes. Each
+occurrence of a licence word of high inverse document frequency is looked up in the
 probes' postings; position minus posting is where the template would begin. A beginning
 stays if enough probes stand at their relative positions, and is a match if the
-template's mandatory phrases stand inside it.
+template's mandatory phrases stand inside it. Of ``n`` probes of which ``least`` must
+stand in place, one of the ``n - least + 1`` rarest does, so only those have postings and
+no beginning is missed, however many licence words a document holds.
 
 Both passes only map documents. What is gathered is a count for each word of the
 templates, whose number the templates bound.
@@ -67,7 +69,6 @@ TEMPLATES = (
 )
 
 PROBES = 6  # of each template
-LOOKUPS = 12  # of each document
 PROBE_SHARE = 0.6
 SLACK = 2  # words that a phrase may lie beyond a template's ends
 
@@ -97,6 +98,11 @@ def chosen_probes(templates: tuple[Template, ...], counts: dict[str, int]) -> li
     return chosen
 
 
+def least_in_place(probes: list[tuple[str, int]]) -> int:
+    """How many of a template's probes must stand in place."""
+    return max(1, math.ceil(PROBE_SHARE * len(probes)))
+
+
 def at(words: Column, place: Column) -> Column:
     """The word at a place; null outside."""
     return F.when(place >= 0, F.get(words, place))
@@ -137,7 +143,8 @@ def scanned(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES,
     total, counts = document_counts(words, vocabulary)
     probes = chosen_probes(templates, counts)
     idf = {w: math.log((total + 1) / (counts[w] + 1)) for w in vocabulary}
-    indexed = sorted({w for found in probes for w, _ in found}, key=lambda w: (-idf[w], w))
+    posted = [found[: len(found) - least_in_place(found) + 1] for found in probes]
+    indexed = sorted({w for found in posted for w, _ in found}, key=lambda w: (-idf[w], w))
 
     firsts = F.lit(sorted({phrase.split()[0] for phrase, _ in phrases}))
     none = F.array().cast("array<struct<place:bigint,label:string>>")
@@ -147,13 +154,13 @@ def scanned(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES,
         # The index: for each word its templates and places; and each template's own row.
         index = F.create_map(*[x for word in indexed for x in (F.lit(word), F.array(*[
             F.struct(F.lit(t).alias("template"), F.lit(place).alias("place"))
-            for t, found in enumerate(probes) for w, place in found if w == word]))])
+            for t, found in enumerate(posted) for w, place in found if w == word]))])
         table = F.array(*[F.struct(
             F.lit(t.label).alias("label"), F.lit(t.text.split()).alias("words"),
             F.lit([w for w, _ in found] or [""]).alias("probes"), F.lit([p for _, p in found] or [0]).alias("places"),
-            F.lit(max(1, math.ceil(PROBE_SHARE * len(found)))).alias("least"),
+            F.lit(least_in_place(found)).alias("least"),
             F.lit([f" {p} " for p in t.phrases]).alias("phrases")) for t, found in zip(templates, probes)])
-        rows = rows.withColumn("rare", F.slice(F.array_intersect(F.lit(indexed), F.col("words")), 1, LOOKUPS))
+        rows = rows.withColumn("rare", F.array_intersect(F.lit(indexed), F.col("words")))
         placed = F.filter(F.transform("words", lambda w, i: F.struct(w.alias("word"), i.alias("place"))),
                           lambda x: F.array_contains("rare", x["word"]))
         starts = F.array_distinct(F.flatten(F.transform(placed, lambda x: F.transform(

@@ -5,9 +5,9 @@ of the model reaches over such a cut (checked on loading), so units are encoded
 own. A unit's
 characters are merged by an agenda: the best scored adjacent pair first, the leftmost of
 equals; a popped candidate is skipped if its bit is set, and never offered again as that
-pair. The bits are a keyed hash of seed, pattern and the candidate's ordinal; the pattern
-is a keyed hash of seed, text and the unit's position, so the same word splits in
-different ways, and a lost task that runs again gives the same pieces.
+pair. Each bit is a keyed hash of seed, text, the unit's position and the candidate's
+ordinal, so every candidate is skipped on its own, and a lost task that runs again gives
+the same pieces.
 
 Units are encoded where their document is; the pieces of frequent units are remembered
 in a table of bounded size. Nothing is shuffled.
@@ -34,24 +34,18 @@ from civica.llm.hashing import ODD, mix
 SPACE = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT, SEED = 0.1, 13
-PATTERNS, BITS = 16, 64
+LANES = 16  # candidates whose bits are drawn for all units of a text at once
 REMEMBERED = 200_000
 LONG_UNIT = 64
 NO_PIECE = 1 << 60
 
 
-def patterns(seed: int, dropout: float) -> list[int]:
-    """For each pattern a word of bits; bit j is set if the j-th candidate is skipped.
-
-    At each ordinal the patterns are put in an order by keyed hash, and the share
-    ``dropout`` of them skips, rounded up or down by another hash.
-    """
-    key = mix(np.array([seed & (1 << 64) - 1], np.uint64))
-    table = mix(np.arange(BITS * (PATTERNS + 1), dtype=np.uint64) * ODD + key).reshape(BITS, -1)
-    place = np.argsort(np.argsort(table[:, :PATTERNS], axis=1), axis=1)
-    shift = (table[:, PATTERNS:] >> np.uint64(11)).astype(np.float64) / float(1 << 53)
-    skip = place + shift < dropout * PATTERNS
-    return [sum(1 << j for j in np.flatnonzero(column).tolist()) for column in skip.T]
+def drawn(keys: np.ndarray, count: int, bar: int) -> np.ndarray:
+    """The skip bits of the first candidates of each unit, at least ``count``, packed to
+    bytes with the first candidate lowest. A hash serves two candidates with 32 bits each;
+    those below ``bar`` are skipped."""
+    ordinals = np.arange((count + 15) // 16 * 8, dtype=np.uint64) * ODD
+    return np.packbits(mix(keys[:, None] + ordinals).view("<u4") < bar, axis=1, bitorder="little")
 
 
 class Pieces:
@@ -89,7 +83,8 @@ class Pieces:
         return tuple(out)
 
     def merge(self, unit: str, skips: int) -> tuple[tuple[int, ...], int]:
-        """Ids of a unit, and how many candidates its agenda took."""
+        """Ids of a unit, and how many candidates its agenda took; bit j of ``skips`` is
+        set if the j-th is skipped."""
         if len(unit) > LONG_UNIT:
             return self._merge_long(unit, skips)
         rank, symbols = self.rank.get, list(unit)
@@ -98,7 +93,7 @@ class Pieces:
         taken, last = 0, len(pairs) - 1
         while pairs and (best := min(pairs)) < NO_PIECE:
             at = pairs.index(best)
-            skipped = skips and skips >> (taken % BITS) & 1
+            skipped = skips and skips >> taken & 1
             taken += 1
             if skipped:
                 pairs[at] = NO_PIECE
@@ -117,6 +112,7 @@ class Pieces:
         """The same with a heap, for units of many characters."""
         rank, symbols = self.rank, list(unit)
         n = len(symbols)
+        flags = skips.to_bytes(max(3 * n, skips.bit_length()) // 8 + 1, "little")
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = [(found, i, symbols[i], symbols[i + 1]) for i in range(n - 1)
                 if (found := rank.get(symbols[i] + symbols[i + 1])) is not None]
@@ -127,7 +123,7 @@ class Pieces:
             j = after[i]
             if symbols[i] != left or j >= n or symbols[j] != right:
                 continue
-            skipped = skips >> (taken % BITS) & 1
+            skipped = flags[taken >> 3] >> (taken & 7) & 1
             taken += 1
             if skipped:
                 continue
@@ -177,12 +173,12 @@ class Encoder:
     def __init__(self, pieces: Pieces, dropout: float, seed: int, remembered: int = REMEMBERED):
         self.pieces = pieces
         self.seed = mix(np.array([seed & (1 << 64) - 1], np.uint64))
-        self.patterns = patterns(seed, dropout)
+        self.bar = round(dropout * (1 << 32))
         self.plain, self.varied = Remembered(2 * remembered), Remembered(remembered)
 
     def _new(self, unit: str) -> tuple[tuple[int, ...], int, int]:
-        """Ids without dropout, the bits they depend on, and the bits that varied pieces
-        are remembered by."""
+        """Ids without dropout, the bits they depend on, and how many those are. The bit
+        behind ``LANES`` stands for all further ones."""
         return self.plain.from_old(unit) or self._learn([unit])
 
     def _learn(self, found: list[str]) -> tuple[tuple[int, ...], int, int]:
@@ -193,22 +189,52 @@ class Encoder:
             taken = len(unit) - len(ids)
             if not self.pieces.byte_ids.isdisjoint(ids):
                 taken = self.pieces.merge(unit.replace(" ", SPACE), 0)[1]
-            known = tuple(ids), (1 << min(taken, BITS)) - 1, (1 << min(taken + 3, BITS)) - 1
+            known = tuple(ids), (1 << min(taken, LANES + 1)) - 1 if self.bar else 0, taken
             self.plain.put(unit, known)
         return known
 
-    def _varied(self, unit: str, skips: int, low: int) -> tuple[int, ...]:
-        """Ids under the given bits; those beyond ``low`` count only if they were used."""
-        for key in ((unit, skips & low), (unit, ~skips)):
-            ids = self.varied.from_old(key) or self.varied.young.get(key)
-            if ids is not None:
-                return ids
-        ids, taken = self.pieces.merge(unit.replace(" ", SPACE), skips)
-        self.varied.put((unit, skips & low if taken <= low.bit_length() else ~skips), ids)
-        return ids
-
-    def _units(self, found: list[str], choice: list[int], out: list[int]) -> None:
-        masks, add = self.patterns, out.extend
+    def _varied(self, unit: str, plain: tuple[int, ...], taken: int, skips: int, key: np.ndarray) -> tuple[int, ...]:
+        """Ids of a unit under its own bits, of which ``skips`` holds the first ones.
+
+        Ids are remembered by the bits that its agenda looked at. By fewer bits, the
+        number of those that the agenda looked at is remembered, to look further.
+        """
+        # Every merge offers two new pairs at most, so an agenda takes no more than this.
+        most, have = 3 * len(unit), LANES
+
+        def every() -> int:
+            return int.from_bytes(drawn(key, most, self.bar).tobytes(), "little")
+
+        skips &= (1 << LANES) - 1
+        if taken > LANES:
+            skips, have = every(), most
+            if not skips & (1 << taken) - 1:
+                return plain
+        if len(unit) > LONG_UNIT:
+            return self.pieces.merge(unit.replace(" ", SPACE), skips)[0]
+        table, n = self.varied, taken
+        while True:
+            if n > have:
+                skips, have = every(), most
+            # A bit on top tells how many there are; the shortest do without.
+            seen = unit, skips & (1 << n) - 1 | (1 << n if n > min(taken, LANES) else 0)
+            found = table.young.get(seen) or table.from_old(seen)
+            if found.__class__ is not int:
+                break
+            n = found
+        if found is None:
+            found, looked = self.pieces.merge(unit.replace(" ", SPACE), skips)
+            if looked > have:
+                skips = every()
+                found, looked = self.pieces.merge(unit.replace(" ", SPACE), skips)
+            if looked > n:
+                table.put(seen, looked)
+                seen = unit, skips & (1 << looked) - 1 | 1 << looked
+            table.put(seen, found)
+        return found
+
+    def _units(self, found: list[str], keys: np.ndarray, out: list[int]) -> None:
+        add = out.extend
         known = list(map(self.plain.young.get, found))
         if None in known:
             missing = {unit for unit, x in zip(found, known) if x is None}
@@ -217,18 +243,18 @@ class Encoder:
                 self._learn(unseen)
             young, old = self.plain.young, self.plain.old
             known = [x or young.get(unit) or old.get(unit) or self._new(unit) for unit, x in zip(found, known)]
+        first = drawn(keys, LANES, self.bar).view("<u2")[:, 0].astype(np.int64) | 1 << LANES
         varied = self.varied.young.get
-        for unit, (ids, used, low), k in zip(found, known, choice):
-            skips = masks[k]
+        for i, (unit, (ids, used, taken), skips) in enumerate(zip(found, known, first.tolist())):
             if skips & used:
-                ids = varied((unit, skips & low))
-                if ids is None:
-                    ids = self._varied(unit, skips, low)
+                plain, ids = ids, varied((unit, skips & used))
+                if ids.__class__ is not tuple:
+                    ids = self._varied(unit, plain, taken, skips, keys[i: i + 1])
                     varied = self.varied.young.get
             add(ids)
 
     def encode(self, text: str, key: int) -> list[int]:
-        """Ids of a text; ``key`` is its identity in the choice of patterns."""
+        """Ids of a text; ``key`` is its identity in the skip bits."""
         if not text:
             return []
         out: list[int] = []
@@ -238,8 +264,8 @@ class Encoder:
             if n:
                 out += [self.pieces.bytes[b] for b in SPACE.encode()]
             found = UNITS.findall(part if n else " " + part)
-            choice = mix(np.arange(len(found), dtype=np.uint64) + mix(start + np.uint64(n))) % np.uint64(PATTERNS)
-            self._units(found, choice.tolist(), out)
+            if found:
+                self._units(found, mix(np.arange(len(found), dtype=np.uint64) + mix(start + np.uint64(n))), out)
         return out
 
 
@@ -263,7 +289,7 @@ def encoded(docs: DataFrame, model_path: str = MODEL, dropout: float = DROPOUT,
     ``model_path``. dropout 0 is the model's own encoding; seed selects another variant.
 
     A null text has null ids, n_ids 0 and lossless null; an empty text has no ids. Equal
-    rows are encoded alike: the key of the choice is a hash of doc_id and text, null ids
+    rows are encoded alike: the key of the skip bits is a hash of doc_id and text, null ids
     included. Texts are encoded whole at any length. Other columns are not read.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("doc_id", "text").alias("key"),

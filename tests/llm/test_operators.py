@@ -107,6 +107,54 @@ def test_sentencepiece_round_trip(spark, odd):
     assert plain[5] != {r.doc_id: r.ids for r in tokens.collect()}[5]
 
 
+def mixed(x):
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 % (1 << 64)
+    x = (x ^ x >> 27) * 0x94D049BB133111EB % (1 << 64)
+    return x ^ x >> 31
+
+
+def brute_pieces(pieces, unit, skipped):
+    """A unit's ids, each candidate asked for on its own; also which were skipped."""
+    symbols, gone, asked = list(unit), set(), []
+    at = list(range(len(symbols)))
+    while True:
+        offered = [(pieces.rank[a + b], k) for k, (a, b) in enumerate(zip(symbols, symbols[1:]))
+                   if a + b in pieces.rank and (at[k], a, b) not in gone]
+        if not offered:
+            return [int(k) for k in pieces.ids(symbols)], asked
+        k = min(offered)[1]
+        asked.append(skipped(len(asked)))
+        if asked[-1]:
+            gone.add((at[k], symbols[k], symbols[k + 1]))
+        else:
+            symbols[k: k + 2] = [symbols[k] + symbols[k + 1]]
+            del at[k + 1]
+
+
+def test_sentencepiece_skips_each_candidate():
+    pieces = sentencepiece_bpe.load(sentencepiece_bpe.MODEL)
+    encoder = sentencepiece_bpe.Encoder(pieces, 0.1, 13, remembered=500)
+    r = random.Random(8)
+    words = ["international", "understanding", "to", "incomprehensibilities", "ab" * 45, "été", "a" * 30, "日本語"]
+    text = " ".join(r.choice(words) for _ in range(4000))
+    want, ways, draws = [], set(), []
+    start = mixed(77 ^ mixed(13))
+    for n, unit in enumerate(sentencepiece_bpe.UNITS.findall(" " + text)):
+        key = mixed((n + mixed(start)) % (1 << 64))
+
+        def skipped(j, key=key):
+            value = mixed((key + j // 2 * 0x9E3779B97F4A7C15) % (1 << 64))
+            return (value >> 32 * (j % 2)) % (1 << 32) < round(0.1 * (1 << 32))
+
+        ids, asked = brute_pieces(pieces, unit.replace(" ", sentencepiece_bpe.SPACE), skipped)
+        want += ids
+        draws += asked
+        if unit == " understanding":
+            ways.add(tuple(ids))
+    assert encoder.encode(text, 77) == want
+    assert len(ways) > 16 and abs(sum(draws) / len(draws) - 0.1) < 0.005
+
+
 def test_edit_distance(spark):
     r = random.Random(2)
     pairs = []

@@ -247,6 +247,33 @@ def test_chat(spark):
         (None, 1): (None, 1, 0, "y")}
 
 
+def test_chat_short_quotations(spark):
+    chats = [(1, 0, "a", "Yes."), (1, 1, "b", "你好，世界"), (1, 2, "c", "Where do we meet?\nOk"), (1, 3, "d", "👍"),
+             (1, 4, "e", "> yes\nSure"), (1, 5, "f", "> 你好，世界\n再见"), (1, 6, "g", "> 👍\nFine"),
+             (1, 7, "h", "> Ok\n>> yes\nx"), (1, 8, "i", "> sure\n\n> ok\ny"), (1, 9, "j", "> \t\nz"), (1, 4, "e", "again"),
+             (None, 0, "k", "Yes."), (2, 5, "l", "> yes\nno")]
+    found = chat_format.formatted(spark.createDataFrame(chats, "conv_id long, turn long, role string, text string")).collect()
+    got = {(r.conv_id, r.turn): (r.parent, r.root, r.depth, r.place) for r in found}
+    assert len(found) == len(chats) and got == {
+        (1, 0): (None, 0, 0, 0), (1, 4): (0, 0, 1, 1), (1, 8): (4, 0, 2, 2), (1, 1): (None, 1, 0, 3), (1, 5): (1, 1, 1, 4),
+        (1, 2): (None, 2, 0, 5), (1, 7): (2, 2, 1, 6), (1, 3): (None, 3, 0, 7), (1, 6): (3, 3, 1, 8),
+        (1, 9): (None, 9, 0, 9), (None, 0): (None, 0, 0, None), (2, 5): (None, 5, 0, 0)}
+
+
+def test_chat_places_of_a_long_conversation(spark):
+    turns = [(c, t % 7, t) for c, n in ((1, 3), (2, 4000), (3, 5)) for t in range(n)]
+    frame = spark.createDataFrame(turns, "conv_id long, root long, turn long")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = sorted(tuple(r) for r in chat_format.reply_places(frame).collect())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = []
+    for c in (1, 2, 3):
+        want += [(c, t, k) for k, (_, t) in enumerate(sorted((r, t) for x, r, t in turns if x == c))]
+    assert got == sorted(want)
+
+
 def test_decontamination(spark, odd, rows):
     items = spark.createDataFrame([(7, "One, two three. Four five SIX"), (8, "short"), (9, None)], "item_id long, text string")
     found = decontamination.contained_items(odd, items, block_items=1)

@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from civica.llm import (
     chat_format,
+    collocations,
     decontamination,
     jaccard_join,
     language_id,
     license_scan,
     line_dedup,
+    periodic_runs,
     quality,
     sentencepiece_bpe,
+    sharding,
     topk_search,
     url_filter,
 )
@@ -67,10 +70,46 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.top_collocations(read_table(spark, sf_dir, "documents"))
+
+
+def op12_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(read_table(spark, sf_dir, "documents"))
+
+
+def planted(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: in one document of ten, by the crc32 of its id, the words from some
+    word on repeat with a period; both follow from the crc32. A null id plants nothing."""
+    h = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8"))
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    rows = docs.select("doc_id", "text", (F.floor(h / 10)).alias("g"), F.when(h % 10 == 0, words).alias("words"))
+    rows = rows.withColumn("n", F.size("words")).withColumn("a", F.col("g") % F.col("n").cast("bigint"))
+    rows = rows.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    unit = F.slice("words", F.col("a").cast("int") + 1, F.col("p").cast("int"))
+    times = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(unit, times)), F.lit(1), (F.col("n") - F.col("a")).cast("int"))
+    text = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a").cast("int")), tail), " ")
+    return rows.select("doc_id", F.when(F.col("n") > 0, text).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(planted(read_table(spark, sf_dir, "documents")))
+    first = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    found = found.withColumn("first", first)
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), (-F.col("first.col2")).alias("start"),
+        F.col("first.length").alias("length"), (-F.col("first.col3")).alias("period"),
+        F.expr("1000 * first.length div -first.col3").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_topk, op2_license, op3_sentencepiece, op4_line_dedup, op5_url_filter, op6_quality, op7_language,
-        op8_jaccard, op9_chat, op10_decontamination)
+        op8_jaccard, op9_chat, op10_decontamination, op11_collocations, op12_shards, op13_periodic_runs)
 } | {"pipeline": corpus_pipeline.run}
 
 
@@ -144,9 +183,72 @@ met AS (
 SELECT doc_id, item_id, n_shared, n_item, n_shared / n_item AS containment FROM met WHERE 10 * n_shared >= 8 * n_item
 """
 
+def _collocations_sql() -> str:
+    separators = r"[.,;:!?\x0A-\x0D]"
+    grams = " UNION ALL ".join(
+        f"SELECT lang, {size} AS size, unnest(list_transform(range(1, len(w) - {size - 2}), "
+        f"lambda i: array_to_string(w[i:i + {size - 1}], ' '))) AS phrase FROM words" for size in range(1, 5))
+    cut = "array_to_string(string_split(phrase, ' ')[{}:{}], ' ')"
+    return f"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_ascii_lower('text')}, '{separators}')) AS piece
+    FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
+grams AS ({grams}),
+f AS (SELECT lang, size, phrase, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 30),
+cuts AS (
+    SELECT lang, size, phrase, a, k, {cut.format('1', 'k')} AS head, {cut.format('k + 1', 'size')} AS tail
+    FROM f, range(1, 4) t(k) WHERE k < size),
+scored AS (
+    SELECT c.lang, c.size, c.phrase, c.a, k, h.a AS l, t.a AS r,
+           ((2000000::HUGEINT * c.a) // (h.a::HUGEINT + t.a))::BIGINT AS score
+    FROM cuts c JOIN f h ON h.lang = c.lang AND h.phrase = c.head JOIN f t ON t.lang = c.lang AND t.phrase = c.tail),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+shadowed AS (
+    SELECT b.lang, b.phrase FROM best b JOIN f ON f.lang = b.lang AND f.size > b.size
+    AND contains(' ' || f.phrase || ' ', ' ' || b.phrase || ' ') AND 100::HUGEINT * f.a >= 80::HUGEINT * b.a),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+    FROM best ANTI JOIN shadowed USING (lang, phrase))
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
+def _crc_table() -> str:
+    rows = []
+    for value in range(256):
+        for _ in range(8):
+            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+        rows.append(value)
+    return f"({rows}::BIGINT[])"
+
+
+_SHARDS = f"""
+WITH RECURSIVE given AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS id FROM documents),
+bytes AS (SELECT id, strlen(text) AS size, hex(encode(text)) AS h FROM given),
+crc AS (
+    SELECT id, size + 1 AS size, xor(4294967295, list_reduce(
+        list_transform(range(1, size + 1), lambda i: ('0x' || h[2 * i - 1:2 * i])::BIGINT),
+        lambda c, v: xor(c >> 8, {_crc_table()}[(xor(c, v) & 255) + 1]), 4294967295::BIGINT))::BIGINT AS crc FROM bytes),
+walk AS (
+    SELECT id, ((coalesce(doc_id, 0)::HUGEINT + 18446744073709551616) % 18446744073709551616)::UHUGEINT AS key, -1::BIGINT AS here,
+           0::BIGINT AS next FROM given
+    UNION ALL
+    SELECT id, state, next, floor((next + 1)::DOUBLE * (2147483648::DOUBLE / ((state >> 33) + 1)::DOUBLE))::BIGINT FROM (
+        SELECT *, (key * 2862933555777941757 + 1) % 18446744073709551616 AS state FROM walk WHERE next < 17)),
+shards AS (
+    SELECT id, max(here) FILTER (next >= 17) AS grown, max(here) FILTER (here < 16) AS shard FROM walk GROUP BY id)
+SELECT doc_id, size, crc AS text_crc32, 'key' AS law, shard::INTEGER AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, size, crc) - 1 AS slot, grown::INTEGER AS grown_shard
+FROM given JOIN crc USING (id) JOIN shards USING (id)
+"""
+
 ORACLES = {
     "op1_topk": _TOPK,
     "op5_url_filter": _url_sql(),
     "op8_jaccard": _JACCARD,
     "op10_decontamination": _DECONTAMINATION,
+    "op11_collocations": _collocations_sql(),
+    "op12_shards": _SHARDS,
 }

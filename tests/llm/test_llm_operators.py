@@ -133,7 +133,7 @@ def brute_pieces(pieces, unit, skipped):
 
 def test_sentencepiece_skips_each_candidate():
     pieces = sentencepiece_bpe.load(sentencepiece_bpe.MODEL)
-    encoder = sentencepiece_bpe.Encoder(pieces, 0.1, 13, remembered=500)
+    encoder = sentencepiece_bpe.Encoder(pieces, 0.1, 13)
     r = random.Random(8)
     words = ["international", "understanding", "to", "incomprehensibilities", "ab" * 45, "été", "a" * 30, "日本語"]
     text = " ".join(r.choice(words) for _ in range(4000))

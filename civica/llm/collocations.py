@@ -5,13 +5,14 @@
 2. A full pass counts the proposed phrases exactly, and with them the negative border: the
    phrases that were not proposed though all their parts were (any word is one; a longer phrase is, if
    its first and its last part are proposed).
-3. Border phrases that turn out frequent are failures of the sample. They join the proposals,
-   and another pass counts the border that this adds, until no failure is left. A
-   failure's length grows from pass to pass, so there are at most as many passes as words in a phrase.
-
-Passes know the proposals by a filter of ``FILTER_BITS`` bits, the only thing that is sent to
-all tasks. A phrase that it takes for a proposed one is counted, which costs time and
-changes nothing; so a corpus with more phrases than the filter has bits for is still
+3. Border phrases that turn out frequent are failures of the sample. What the pass missed
+   holds one of them and consists of frequent words, which are known by now. So the expansion
+   pass counts the phrases of this kind that were not counted yet, of every size at once,
+   and that closes the result.
+
+Passes know sets of phrases by filters of ``FILTER_BITS`` bits, the only thing that is sent to
+all tasks. A phrase that a filter takes for one of its own is counted, which costs time and
+changes nothing; so a corpus with more phrases than a filter has bits for is still
 counted exactly. Within a batch, phrases are numbers (pairs of numbers of shorter ones),
 and each distinct one leaves the batch once, as text with its count.
 """
@@ -19,6 +20,7 @@ and each distinct one leaves the batch once, as text with its count.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -28,15 +30,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from civica.llm.common import LOWER, UPPER, stored
-from civica.llm.hashing import ODD, mix
+from civica.llm.hashing import ODD, mix, pieces
 
 SEPARATORS = ".,;:!?\n\x0b\f\r"
 NO_LANG = "und"
 LEAST = 30
 LONGEST = 4
-SAMPLE = 8  # one document of so many
-FILTER_BITS = 1 << 26
-CHUNK = 1 << 23
+SAMPLE = 16  # one document of so many
+FILTER_BITS = 1 << 25
+CHUNK = 1 << 21
 ROWS = 100_000
 CUT = 2_000_000
 COVERED = 80
@@ -45,9 +47,6 @@ TOP = 2_000
 # Every separator becomes a full stop with spaces around it: a word of its own that ends a piece.
 TABLE = bytes.maketrans((UPPER + SEPARATORS + "\t").encode(), (LOWER + "." * len(SEPARATORS) + " ").encode())
 
-COUNTED = "lang string, size int, phrase string, n bigint, known boolean"
-
-
 def hash_of(word: bytes, seed: int = 0) -> int:
     return xxhash.xxh64_intdigest(word, seed)
 
@@ -62,6 +61,16 @@ def bit_set(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
+@dataclass
+class Filters:
+    """What a pass knows: nothing in the sample, the proposals in the full pass, in the
+    expansion also the frequent words and the failures."""
+
+    proposed: np.ndarray | None = None
+    words: np.ndarray | None = None
+    failures: np.ndarray | None = None
+
+
 class Batch:
     """Texts of one language as numbers of words, 0 where a piece ends."""
 
@@ -75,87 +84,107 @@ class Batch:
         self.hashes = np.array(own, np.uint64)[self.ids]
         self.first = longer(np.uint64([hash_of(lang.encode(), 1)]), self.hashes)
 
-    def numbers(self, at: np.ndarray, size: int) -> np.ndarray:
-        """Numbers of the phrases of ``size`` words that begin at the given places."""
-        found = self.ids[at]
-        for k in range(1, size):
-            found = np.unique(found * len(self.words) + self.ids[at + k], return_inverse=True)[1]
-        return found
-
-    def phrases(self, longest: int, filters: list[np.ndarray]) -> Iterator[tuple[int, pa.Array, np.ndarray, np.ndarray]]:
-        """Size, phrases, counts, and which are in the last filter, of the phrases that the
-        last filter makes part of the border or of the proposals and no earlier one does.
-        Without a filter, of all phrases."""
+    def counted(self, longest: int, filters: Filters) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Size, places and counts of the phrases that a pass with these filters counts; a
+        place stands for the phrase that begins there."""
         ids, names, value = self.ids, self.ids, self.first
         at = np.flatnonzero(ids)
-        # By filter: where a phrase begins that is counted under it.
-        taken = [ids > 0 for _ in filters]
+        # Where a phrase begins that the first full pass counts, and one that holds a failure.
+        taken, holds = ids > 0, np.zeros(len(ids), bool)
+        if filters.failures is not None:
+            at = at[bit_set(filters.words, value[at])]
+            usable = np.zeros(len(ids), bool)
+            usable[at] = True
         for size in range(1, longest + 1):
             if size > 1:
                 at = at[at + size <= len(ids)]
                 at = at[ids[at + size - 1] > 0]
-                held = [x & bit_set(bits, value) for x, bits in zip(taken, filters)]
-                taken = [np.zeros(len(ids), bool) for _ in filters]
-                for both, x in zip(taken, held):
-                    both[at] = x[at] & x[at + 1]
-                if filters:
-                    at = at[taken[-1][at]]
+                if filters.failures is not None:
+                    at = at[usable[at + size - 1]]
+                    holds[at] |= holds[at + 1]
+                if filters.proposed is not None:
+                    held, taken = taken & bit_set(filters.proposed, value), np.zeros(len(ids), bool)
+                    taken[at] = held[at] & held[at + 1]
+                    if filters.failures is None:
+                        at = at[taken[at]]
                 value, parts = np.zeros(len(ids), np.uint64), value
                 value[at] = longer(parts[at], self.hashes[at + size - 1])
-            if len(filters) > 1:  # few places are new, so they are numbered on their own
-                new = at[~taken[-2][at]]
-                number = self.numbers(new, size)
+            if filters.failures is not None:
+                new = at[holds[at] & ~taken[at]]
+                _, first, count = np.unique(self.numbers(new, size), return_index=True, return_counts=True)
+                yield size, new[first], count
+                holds[at] |= bit_set(filters.failures, value[at])
+            elif size == 1:  # numbers of words rise where a word stands first
+                yield size, np.flatnonzero(np.diff(np.maximum.accumulate(ids), prepend=0)), np.bincount(ids)[1:]
             else:
-                new, number = at, names[at] * len(self.words) + ids[at + size - 1]
-            _, first, number, count = np.unique(number, return_index=True, return_inverse=True, return_counts=True)
-            if new is at:
+                pairs = names[at] * len(self.words) + ids[at + size - 1]
+                _, first, number, count = np.unique(pairs, return_index=True, return_inverse=True, return_counts=True)
                 names = np.zeros(len(ids), np.int64)
                 names[at] = number
-            shown = new[first]
-            if len(shown):
-                texts = pc.binary_join_element_wise(*[self.words.take(pa.array(ids[shown + k])) for k in range(size)], " ")
-                known = bit_set(filters[-1], value[shown]) if filters else np.ones(len(shown), bool)
-                yield size, texts, count, known
+                yield size, at[first], count
+
+    def numbers(self, at: np.ndarray, size: int) -> np.ndarray:
+        """Numbers of the phrases of ``size`` words that begin at the given places."""
+        found = self.ids[at]
+        for k in range(1, size):
+            found = np.unique(found * len(self.words) + self.ids[at + k], return_inverse=True)[1]
+        return found
+
+    def texts(self, at: np.ndarray, size: int) -> pa.Array:
+        return pc.binary_join_element_wise(*[self.words.take(pa.array(self.ids[at + k])) for k in range(size)], " ")
 
 
 def slices(batch: pa.RecordBatch) -> Iterator[tuple[str, list[str]]]:
-    """The texts of each language, in lists of about ``CHUNK`` characters."""
-    for lang in batch.column(0).unique().to_pylist():
-        texts, size = [], 0
-        for text in batch.column(1).filter(pc.equal(batch.column(0), lang)).to_pylist():
-            texts.append(text)
-            size += len(text)
-            if size >= CHUNK:
-                yield lang, texts
-                texts, size = [], 0
-        if texts:
-            yield lang, texts
-
-
-def counted(docs: DataFrame, longest: int, filters: list[np.ndarray]) -> DataFrame:
-    """``lang, size, phrase, n, known``: exact counts over docs of the phrases that the last
-    filter adds, and whether it holds them. docs: ``lang, text``, without nulls. The first
-    filter's counts hold the number of words of each language as size 0."""
+    """The texts of each language, in lists of at most about ``CHUNK`` bytes or a single text."""
+    for piece in pieces(batch, 1, CHUNK):
+        for lang in piece.column(0).unique().to_pylist():
+            yield lang, piece.column(1).filter(pc.equal(piece.column(0), lang)).to_pylist()
+
+
+def counted(docs: DataFrame, longest: int, filters: Filters) -> DataFrame:
+    """``key, n``: exact counts over docs of the phrases of a pass; a key is a phrase, a line
+    end and a language. docs: ``lang, text``, without nulls. The first full pass also gives
+    the number of words of each language, as the empty phrase."""
     sent = docs.sparkSession.sparkContext.broadcast(filters)
 
-    def rows(lang: str, size: int, phrases: pa.Array, n: np.ndarray, known: np.ndarray) -> Iterator[pa.RecordBatch]:
-        whole = pa.RecordBatch.from_arrays(
-            [pa.repeat(pa.scalar(lang), len(n)), pa.repeat(pa.scalar(size, pa.int32()), len(n)), phrases,
-             pa.array(n, pa.int64()), pa.array(known)], names=["lang", "size", "phrase", "n", "known"])
+    def rows(phrases: pa.Array, lang: str, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        keys = pc.binary_join_element_wise(phrases, lang, "\n")
+        whole = pa.RecordBatch.from_arrays([keys, pa.array(n, pa.int64())], names=["key", "n"])
         for at in range(0, len(whole), ROWS):
             yield whole.slice(at, ROWS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = sent.value
         for batch in batches:
             for lang, texts in slices(batch):
                 words = Batch(lang, texts)
-                if len(sent.value) == 1:
-                    yield from rows(lang, 0, pa.array([""]), np.array([np.count_nonzero(words.ids)]), np.ones(1, bool))
-                for size, phrases, n, known in words.phrases(longest, sent.value):
-                    yield from rows(lang, size, phrases, n, known)
+                if known.proposed is not None and known.failures is None:
+                    yield from rows(pa.array([""]), lang, np.array([np.count_nonzero(words.ids)]))
+                for size, at, n in words.counted(longest, known):
+                    if len(at):
+                        yield from rows(words.texts(at, size), lang, n)
+            pa.default_memory_pool().release_unused()
+
+    return docs.mapInArrow(run, "key string, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+
 
-    found = docs.mapInArrow(run, COUNTED)
-    return found.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"), F.max("known").alias("known"))
+def named(found: DataFrame) -> DataFrame:
+    """``lang, phrase, size, n`` of counts by key; the empty phrase has the size 0."""
+    rows = found.withColumn("phrase", F.substring_index("key", "\n", 1))
+    words = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))
+    return rows.select(F.substring("key", F.length("phrase") + 2, F.length("key")).alias("lang"), "phrase",
+                       words.alias("size"), "n")
+
+
+def hashes(langs: list[str], phrases: list[str]) -> np.ndarray:
+    """The hashes that a batch gives phrases."""
+    seeds = {lang: hash_of(lang.encode(), 1) for lang in set(langs)}
+    value = np.array([seeds[lang] for lang in langs], np.uint64)
+    split = [phrase.encode().split(b" ") for phrase in phrases]
+    for k in range(max(map(len, split), default=0)):
+        rows = [i for i, x in enumerate(split) if len(x) > k]
+        value[rows] = longer(value[rows], np.array([hash_of(split[i][k]) for i in rows], np.uint64))
+    return value
 
 
 def filter_of(phrases: DataFrame, bits: int) -> np.ndarray:
@@ -163,16 +192,8 @@ def filter_of(phrases: DataFrame, bits: int) -> np.ndarray:
     of the filter that have any, of which there are at most ``bits / 64``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[bytes, np.uint64] = {}
         for batch in batches:
-            langs = {x: np.uint64(hash_of(x.encode(), 1)) for x in batch.column(0).unique().to_pylist()}
-            value = np.array([langs[x] for x in batch.column(0).to_pylist()], np.uint64)
-            split = [x.encode().split(b" ") for x in batch.column(1).to_pylist()]
-            for k in range(max(map(len, split), default=0)):
-                rows = [i for i, x in enumerate(split) if len(x) > k]
-                word = np.array([hash_of(split[i][k]) for i in rows], np.uint64)
-                value[rows] = longer(value[rows], word)
-            at = np.unique(value % np.uint64(bits))
+            at = np.unique(hashes(*(x.to_pylist() for x in batch.columns)) % np.uint64(bits))
             yield pa.RecordBatch.from_arrays(
                 [pa.array((at >> np.uint64(6)).astype(np.int64)),
                  pa.array((np.uint64(1) << (at & np.uint64(63))).view(np.int64))], names=["at", "bits"])
@@ -184,6 +205,17 @@ def filter_of(phrases: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
+def outside(phrases: DataFrame, bits: np.ndarray) -> DataFrame:
+    """``lang, phrase`` of the given ones that a filter doesn't hold."""
+    sent = phrases.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(~bit_set(sent.value, hashes(*(x.to_pylist() for x in batch.columns)))))
+
+    return phrases.select("lang", "phrase").mapInArrow(run, "lang string, phrase string")
+
+
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, sample: int = SAMPLE,
                      bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame, int]:
     """``lang, phrase, size, n`` of every phrase of up to ``longest`` words that stands in
@@ -196,23 +228,19 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANG)).alias("lang"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
                        F.xxhash64("doc_id", "text").alias("key"))
-    drawn = rows.where(F.pmod(F.col("key"), F.lit(sample)) == 0).drop("key")
+    drawn, rows = rows.where(F.pmod(F.col("key"), F.lit(sample)) == 0).drop("key"), rows.drop("key")
     expected = least / sample
     lowered = max(2, int(expected - 1.3 * expected ** 0.5))
-    proposed = counted(drawn, longest, []).where(F.col("n") >= lowered)
-    filters, results = [filter_of(proposed, bits)], []
-    while True:
-        found = counted(rows.drop("key"), longest, filters)
-        results.append(stored(found.where((F.col("n") >= least) | (F.col("size") == 0)), "phrases"))
-        failures = results[-1].where(~F.col("known") & (F.col("size") < longest))
-        if failures.isEmpty():
-            break
-        filters.append(filters[-1] | filter_of(failures, bits))
-    totals = results[0].where("size = 0").select("lang", "n")
-    whole = results[0]
-    for more in results[1:]:
-        whole = whole.unionAll(more)
-    return whole.where("size > 0").select("lang", "phrase", "size", "n"), totals, len(results)
+    proposed = filter_of(named(counted(drawn, longest, Filters()).where(F.col("n") >= lowered)), bits)
+    found = counted(rows, longest, Filters(proposed))
+    found = stored(named(found.where((F.col("n") >= least) | F.startswith("key", F.lit("\n")))), "phrases")
+    totals, whole, passes = found.where("size = 0").select("lang", "n"), found.where("size > 0"), 1
+    failures = stored(outside(whole.where(F.col("size") < longest), proposed), "failures")
+    if not failures.isEmpty():
+        filters = Filters(proposed, filter_of(whole.where("size = 1"), bits), filter_of(failures, bits))
+        more = named(counted(rows, longest, filters).where(F.col("n") >= least))
+        whole, passes = whole.unionAll(stored(more, "phrases")), 2
+    return whole, totals, passes
 
 
 def wide(x: str) -> Column:

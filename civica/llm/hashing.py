@@ -12,6 +12,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 CHUNK = 1 << 20
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -118,6 +119,16 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets
 
 
+def pieces(batch: pa.RecordBatch, column: int, size: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with at most ``size`` bytes of text, or a single longer text."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends, first = np.cumsum(sizes), 0
+    while first < len(batch):
+        last = max(first + 1, int(np.searchsorted(ends, ends[first] - sizes[first] + size, "right")))
+        yield batch.slice(first, last - first)
+        first = last
+
+
 def shingles(words: np.ndarray, width: int) -> np.ndarray:
     """Hashes of the runs of ``width`` words, in order; a shorter text has none."""
     n = len(words) - width + 1

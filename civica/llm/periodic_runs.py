@@ -26,6 +26,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from civica.llm.hashing import pieces
+
 LEAST = 12
 CHUNK = 1 << 21
 
@@ -116,16 +118,6 @@ def runs_of(words: np.ndarray, text: np.ndarray, least: int = LEAST) -> np.ndarr
     return rows[np.append(True, (rows[1:, :2] != rows[:-1, :2]).any(axis=1))[: len(rows)]]
 
 
-def pieces(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about ``CHUNK`` bytes of text, or a single longer text."""
-    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-    ends, first = np.cumsum(sizes), 0
-    while first < len(batch):
-        last = max(first + 1, int(np.searchsorted(ends, ends[first] - sizes[first] + CHUNK, "right")))
-        yield batch.slice(first, last - first)
-        first = last
-
-
 def found_in(texts: pa.Array, least: int) -> list[pa.Array]:
     """Number of words, runs and collapsed text of each text."""
     lists = pc.ascii_split_whitespace(pc.fill_null(texts, "").cast(pa.string()))
@@ -172,7 +164,7 @@ def periodic_runs(docs: DataFrame, least: int = LEAST) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in pieces(whole, 1):
+            for batch in pieces(whole, 1, CHUNK):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), *found_in(batch.column(1), least)], names=["doc_id", "n_words", "runs", "collapsed"])
 

@@ -79,14 +79,19 @@ def parquet_to_json(spark, sf):
 
 
 @check("csv_to_json", """
-    SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderpriority, o_orderstatus
+    SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderpriority, o_orderstatus,
+           CASE WHEN o_orderkey % 3 = 2 THEN CAST(o_custkey AS VARCHAR) END AS o_custkey
     FROM orders""")
 def csv_to_json(spark, sf):
+    """Files that share a header, have its columns in another order, or one more."""
     source, target = scratch_path(spark, "csv_source"), scratch_path(spark, "csv_target")
-    orders = fx.table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
-    _write(orders, source, "csv", header=True)
+    orders = fx.table(spark, sf, "orders")
+    columns = ["o_orderkey", "o_orderpriority", "o_orderstatus"]
+    for rest, header in enumerate([columns, columns[::-1], [columns[0], "o_custkey", *columns[1:]]]):
+        part = orders.where(F.col("o_orderkey") % 3 == rest).select(*header).repartition(2)
+        part.write.mode("append").option("header", True).csv(source)
     exports.csv_to_json(spark, source, target)
-    schema = "o_orderkey string, o_orderpriority string, o_orderstatus string"
+    schema = "o_orderkey string, o_orderpriority string, o_orderstatus string, o_custkey string"
     return files.read_json(spark, target, schema).drop("file")
 
 

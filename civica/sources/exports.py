@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civica.sources.collections import write_collection
-from civica.sources.files import Schema, load_snapshots, read_csv
+from civica.sources.files import Schema, csv_groups, list_entries, load_snapshots, read_csv
 
 
 def _write_csv(df: DataFrame, path: str) -> None:
@@ -49,8 +49,8 @@ def publish_csv(
     write_collection(frame, name, store, append=False, **options)
 
 
-def _write_json(df: DataFrame, path: str, folder: str) -> None:
-    writer = df.write.mode("overwrite").partitionBy(folder).option("ignoreNullFields", False)
+def _write_json(df: DataFrame, path: str, folder: str, mode: str = "overwrite") -> None:
+    writer = df.write.mode(mode).partitionBy(folder).option("ignoreNullFields", False)
     writer.json(path)
 
 
@@ -69,9 +69,23 @@ def csv_to_json(
 ) -> None:
     """Convert the CSV files of a folder to JSON records, one output folder per file.
 
-    The files must share their columns, in one order; a file whose header disagrees
-    raises. Values stay text unless a schema is given.
+    Each file's records have the columns of its own header, in its order. Files of
+    one header are converted together, so the number of jobs follows that of different
+    headers. With a schema all files must have its header; without one values stay text.
+    A column named ``file`` would clash with the output folders and raises.
     """
-    frame = read_csv(spark, source, delimiter, schema)
+    base = source.rstrip("/")
+    if schema is None:
+        names = [name for name in list_entries(spark, source) if not name.startswith("_")]
+        alike = csv_groups(spark, source, names, delimiter)
+        # Many paths take a job to list; a folder of one header is a single path.
+        groups = [(columns, [f"{base}/{name}" for name in group] if len(alike) > 1 else source)
+                  for columns, group in alike]
+    else:
+        groups = [(schema, source)]
     stem = F.regexp_replace(F.col("_metadata.file_name"), r"\.csv$", "")
-    _write_json(frame.withColumn("file", stem), target, "file")
+    frames = [read_csv(spark, paths, delimiter, columns) for columns, paths in groups]
+    if any("file" in map(str.lower, frame.columns) for frame in frames):
+        raise ValueError("a column is named file, as the output folders are")
+    for n, frame in enumerate(frames):
+        _write_json(frame.withColumn("file", stem), target, "file", "append" if n else "overwrite")

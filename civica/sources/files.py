@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 import re
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -43,7 +43,7 @@ def list_entries(spark: SparkSession, folder: str) -> list[str]:
 
 
 def read_csv(
-    spark: SparkSession, path: str, delimiter: str = ";", schema: Schema | None = None
+    spark: SparkSession, path: str | list[str], delimiter: str = ";", schema: Schema | None = None
 ) -> DataFrame:
     """CSV with a header. Quotes inside a quoted value are doubled, so names that hold
     quotes and commas stay in one column. Without a schema all columns are text. A header
@@ -52,6 +52,38 @@ def read_csv(
     return (reader.schema(schema) if schema else reader).csv(path)
 
 
+def first_lines(spark: SparkSession, folder: str, names: Sequence[str], glob: str = "*") -> dict[str, str]:
+    """The first line that isn't blank of each named CSV file or folder of files below
+    ``folder``, in one job; entries without any have none. Of a folder it is that of its first file.
+    Files whose names don't fit ``glob`` are not read.
+
+    Each task keeps the first line of the files whose beginning it reads, and only those
+    lines are gathered. A header whose quoted names hold a line end isn't supported.
+    """
+    if not names:
+        return {}
+    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(folder)
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    lines = lines.where((F.col("_metadata.file_block_start") == 0) & (F.trim("value") != "")).select(
+        path.alias("path"), F.monotonically_increasing_id().alias("at"), "value")
+    by_file = lines.groupBy("path").agg(F.min_by("value", "at").alias("value"))
+    found = by_file.groupBy(path_below(F.col("path"), folder).alias("name")).agg(F.min_by("value", "path").alias("value"))
+    wanted = set(names)
+    return {row["name"]: row["value"] for row in found.collect() if row["name"] in wanted}
+
+
+def csv_groups(
+    spark: SparkSession, folder: str, names: Sequence[str], delimiter: str = ";", glob: str = "*"
+) -> list[tuple[T.StructType, list[str]]]:
+    """The CSV entries of a folder by header, as (columns, all of them text; names of the entries). Jobs
+    grow with the number of different headers, not of files."""
+    alike: dict[str, list[str]] = {}
+    for name, line in sorted(first_lines(spark, folder, names, glob).items()):
+        alike.setdefault(line, []).append(name)
+    base = folder.rstrip("/")
+    return [(read_csv(spark, f"{base}/{group[0]}", delimiter).schema, group) for group in alike.values()]
+
+
 def read_json(
     spark: SparkSession, path: str, schema: Schema | None = None, multi_line: bool = False
 ) -> DataFrame:
@@ -75,11 +107,17 @@ def load_files(
 
     Other formats, and names that Spark's readers pass over (``_`` in front), are
     reported and skipped. ``schemas`` maps entry names or extensions
-    to schemas; a JSON file with one needs no inference pass over its data.
+    to schemas; a JSON file with one needs no inference pass over its data. The headers
+    of all CSV files without one are read in one job.
     """
-    schemas = schemas or {}
+    schemas = dict(schemas or {})
+    names = list_entries(spark, folder)
+    open_csv = [name for name in names if name.endswith(".csv") and not name.startswith("_")
+                and name not in schemas and "csv" not in schemas]
+    for columns, group in csv_groups(spark, folder, open_csv, delimiter, "*.csv"):
+        schemas |= dict.fromkeys(group, columns)
     frames = {}
-    for name in list_entries(spark, folder):
+    for name in names:
         path, extension = f"{folder.rstrip('/')}/{name}", name.rpartition(".")[2]
         schema = schemas.get(name, schemas.get(extension))
         if name.startswith("_"):

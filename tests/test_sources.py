@@ -1,3 +1,5 @@
+import uuid
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import types as T
@@ -145,3 +147,45 @@ def test_shared_folder_is_never_local_on_a_cluster():
     assert named.startswith("hdfs://nn/shared/x-")
     with pytest.raises(ValueError):
         session.shared_folder(FakeSpark(None, "yarn"))
+
+
+def jobs_while(spark, work):
+    group = f"work-{uuid.uuid4().hex}"
+    spark.sparkContext.setJobGroup(group, group)
+    work()
+    found = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return found
+
+
+def test_csv_to_json_follows_each_header(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "a.csv").write_text("id,name\n1,a\n")
+    (source / "b.csv").write_text("name,id\nb,2\n")
+    (source / "c+d 1.csv").write_text('\n"id",extra,name\n3,"x, y",c\n')
+    (source / "empty.csv").write_text("")
+    (source / "head.csv").write_text("id,name\n")
+    exports.csv_to_json(spark, str(source), str(tmp_path / "out"))
+    text = {p.parent.name: p.read_text().strip() for p in (tmp_path / "out").glob("file=*/*.json")}
+    assert text["file=a"] == '{"id":"1","name":"a"}'
+    assert text["file=b"] == '{"name":"b","id":"2"}'
+    assert [v for k, v in text.items() if "c+d" in k or "c%2Bd" in k] == ['{"id":"3","extra":"x, y","name":"c"}']
+    (source / "clash.csv").write_text("id,File\n1,x\n")
+    with pytest.raises(ValueError):
+        exports.csv_to_json(spark, str(source), str(tmp_path / "out"))
+
+
+def test_jobs_follow_headers_not_files(spark, tmp_path):
+    counts = []
+    for n in (5, 60):
+        folder = tmp_path / f"n{n}"
+        folder.mkdir()
+        for k in range(n):
+            (folder / f"f{k:03}.csv").write_text(f"id;name\n{k};x\n")
+        counts.append((
+            jobs_while(spark, lambda: files.load_files(spark, str(folder))),
+            jobs_while(spark, lambda: exports.csv_to_json(spark, str(folder), str(tmp_path / f"out{n}"), ";"))))
+    assert counts[0] == counts[1]
+    frames = files.load_files(spark, str(tmp_path / "n5"))
+    assert [tuple(r) for r in frames["f003.csv"].collect()] == [("3", "x")]

@@ -1,8 +1,13 @@
-"""Joins that broadcast only a side measured to be small.
+"""Joins of a large left side with a right side of unknown size.
 
-Beyond the bound a join shuffles, and the few keys that hold a large share of the
-left side are spread over many tasks by a salt. Adaptive execution stays on top of
-that and splits whatever partition still turns out too large.
+Building a join starts no job. Catalyst broadcasts a side that its files show to be small; any
+other join shuffles, and adaptive execution decides from the bytes actually written: it
+broadcasts a side below ``spark.sql.adaptive.autoBroadcastJoinThreshold``, and splits
+the partitions of hot keys, on both sides of an inner join into a grid of tasks.
+
+A caller who gives a bound has the right side measured instead, by a job: below the bound it is
+broadcast without a shuffle of the left side; beyond it the few keys that hold a
+large share of the left side are spread over many tasks by a salt.
 """
 
 from __future__ import annotations
@@ -22,7 +27,8 @@ SALT = "__salt"
 HASH = "__hash"
 
 # Join types that return right rows without a match.
-KEEPS_RIGHT = {"right", "rightouter", "full", "fullouter", "outer"}
+FULL = {"full", "fullouter", "outer"}
+KEEPS_RIGHT = FULL | {"right", "rightouter"}
 
 
 def _width(field: T.StructField) -> Column:
@@ -114,21 +120,37 @@ def join_on_keys(
     keys: Sequence[str],
     how: str = "inner",
     spread_by: Sequence[str] = (),
-    max_rows: int = BROADCAST_ROWS,
+    max_rows: int | None = None,
     max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join a large left side with a right side of unknown size on shared key names.
 
     Right columns that the left side already has are left out, so no name comes out
-    twice. Matching is many-to-many, as in any equi-join.
+    twice. Matching is many-to-many, as in any equi-join. With ``max_rows`` the right side is
+    measured against the bounds first, see above.
     """
     extra = [name for name in right.columns if name not in left.columns]
     wanted = right.select(*keys, *extra)
+    if max_rows is None:
+        return adaptive_join(left, wanted, keys, how)
     if fits_broadcast(wanted, max_rows, max_bytes):
         return left.join(F.broadcast(wanted), list(keys), how)
     return spread_join(left, wanted, keys, how, spread_by)
 
 
+def adaptive_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """An equi-join whose hot keys adaptive execution can split, whatever the join type.
+
+    It splits no full outer join, so that becomes a left join and, below it, the right rows
+    whose key the left side lacks; a hot key of either side is split in its part.
+    """
+    if how.lower().replace("_", "") not in FULL:
+        return left.join(right, list(keys), how)
+    present = left.select(*keys).distinct()
+    alone = right.join(present, list(keys), "left_anti")
+    return left.join(right, list(keys), "left").unionByName(alone, allowMissingColumns=True)
+
+
 def attach_lookup(
     df: DataFrame,
     lookup: DataFrame,
@@ -136,7 +158,7 @@ def attach_lookup(
     lookup_raw: str,
     lookup_name: str,
     out: str,
-    max_rows: int = BROADCAST_ROWS,
+    max_rows: int | None = None,
     max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Replace raw name ``raw`` by the reconciled name, as column ``out``.

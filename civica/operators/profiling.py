@@ -6,6 +6,8 @@ not depend on the number of columns, and only one-row results reach the driver.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,55 +72,49 @@ def drop_low_variance(df: DataFrame, floor: float = MIN_STDDEV) -> DataFrame:
     return df.drop(*_too_even(df.agg(*_deviations(names)).first(), names, floor))
 
 
-def _top_hashes(names: list[str]) -> list[Column]:
-    """Hash of each text column's only possible majority value.
+def _tracked(limit: float) -> int:
+    """How many values a sketch keeps per column, so that none of a share above ``limit``
+    can be missed: its counts are off by less than a hundredth of that share."""
+    if not 0.001 <= limit <= 1:
+        raise ValueError("the share of a dominant value must be from 0.001 to 1")
+    return max(1000, math.ceil(400 / limit))
+
 
-    A frequent-items sketch of fixed size puts a value held by more than half of the
-    rows first. No value is shuffled, which matters for columns where nearly every
-    value is different.
+def _top_hashes(names: list[str], limit: float) -> list[Column]:
+    """Hashes of the values of each text column that may hold a share above ``limit``.
+
+    At most 1 / limit values can. A frequent-items sketch of fixed size finds them; no value
+    is shuffled, which matters for columns where nearly every value is different.
     """
+    tracked = _tracked(limit)
+    most = math.ceil(1 / limit) + 1
     return [
-        F.expr(f"get(approx_top_k(xxhash64(`{name}`), 1, 1000), 0).item").alias(f"top_{name}")
+        F.expr(f"approx_top_k(xxhash64(`{name}`), {most}, {tracked})").alias(f"top_{name}")
         for name in names
     ]
 
 
-def _top_counts(df: DataFrame, hashes: dict[str, int | None] | None, names: list[str]) -> dict:
-    """Row count of each text column's most frequent value.
-
-    With ``hashes`` only rows holding that hash are counted, which is enough to
-    decide on a majority. Values are compared as they are, so equal hashes of
-    different values do no harm.
-    """
-    pairs = [F.struct(F.lit(n).alias("name"), _quoted(n).alias("value")) for n in names]
-    if hashes is not None:
-        pairs = [
-            F.when(F.xxhash64(_quoted(n)) == F.lit(hashes[n]), pair)
-            for n, pair in zip(names, pairs)
-        ]
-    cells = df.select(F.explode(F.array(*pairs)).alias("cell")).where(F.col("cell").isNotNull())
-    counted = cells.groupBy("cell.name", "cell.value").agg(F.count(F.lit(1)).alias("n"))
-    top = counted.groupBy("name").agg(F.max("n").alias("n"))
-    return {row["name"]: row["n"] for row in top.collect()}
-
-
 def drop_dominant(df: DataFrame, limit: float = MAX_TOP_SHARE) -> DataFrame:
-    """Drop text columns whose most frequent value holds a share above ``limit``."""
+    """Drop text columns whose most frequent value (NULL is one) holds a share above
+    ``limit``, by two aggregates: a sketch of each column, and exact counts of its candidates."""
     names = text_columns(df)
     if not names:
         return df
-    row = df.agg(F.count(F.lit(1)).alias(TOTAL), *_top_hashes(names)).first()
+    row = df.agg(F.count(F.lit(1)).alias(TOTAL), *_top_hashes(names, limit)).first()
     return _drop_dominant(df, names, row, limit)
 
 
 def _drop_dominant(df: DataFrame, names: list[str], row: Row, limit: float) -> DataFrame:
     total = row[TOTAL]
-    if not total or not names:
+    # What the sketch puts clearly below the limit needs no count.
+    least = (limit - 0.02 * limit) * total if total else 0
+    candidates = [(name, item["item"]) for name in names for item in row[f"top_{name}"] or [] if item["count"] >= least]
+    if not total or not candidates:
         return df
-    # The sketch settles a clear majority; a lower limit counts every value.
-    hashes = {name: row[f"top_{name}"] for name in names} if limit >= 0.51 else None
-    top = _top_counts(df, hashes, names)
-    return df.drop(*[name for name in names if top.get(name, 0) / total > limit])
+    counts = df.agg(*[
+        F.count_if(F.xxhash64(_quoted(name)) == F.lit(item)).alias(f"n{k}")
+        for k, (name, item) in enumerate(candidates)]).first()
+    return df.drop(*{name for (name, _), n in zip(candidates, counts) if n / total > limit})
 
 
 def clean_full(
@@ -136,7 +132,7 @@ def clean_full(
     complete = drop_incomplete(drop_sparse_columns(df, max_nulls))
     numbers, texts = numeric_columns(complete), text_columns(complete)
     row = complete.agg(
-        F.count(F.lit(1)).alias(TOTAL), *_deviations(numbers), *_top_hashes(texts)
+        F.count(F.lit(1)).alias(TOTAL), *_deviations(numbers), *_top_hashes(texts, max_top)
     ).first()
     varied = complete.drop(*_too_even(row, numbers, min_stddev))
     return _drop_dominant(varied, texts, row, max_top)

@@ -211,3 +211,16 @@ def test_empty_frames_are_left_alone(spark):
 def test_single_row_deviation_is_unknown(spark):
     df = spark.createDataFrame([(1, 2.0)], "a int, b double")
     assert profiling.drop_low_variance(df).columns == ["a", "b"]
+
+
+def test_dominant_values_at_any_limit(spark):
+    """Against plain counts, for limits on both sides of a half; no value is shuffled."""
+    df = spark.range(2000).select(
+        F.when(F.col("id") % 10 < 3, "x").otherwise(F.col("id").cast("string")).alias("third"),
+        F.when(F.col("id") % 10 < 6, None).otherwise(F.col("id").cast("string")).alias("nulls"),
+        (F.col("id") % 50).cast("string").alias("even"), F.col("id").cast("string").alias("unique"))
+    for limit in (0.01, 0.019, 0.021, 0.25, 0.299, 0.301, 0.55, 0.61):
+        want = [c for c in df.columns if df.groupBy(c).count().agg(F.max("count")).first()[0] / 2000 <= limit]
+        assert profiling.drop_dominant(df, limit).columns == want, limit
+    with pytest.raises(ValueError):
+        profiling.drop_dominant(df, 0.0)

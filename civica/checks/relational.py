@@ -169,6 +169,13 @@ def rank_in_group(spark, sf):
     return ranking.rank_within(votes, ["district"], "total_votes")
 
 
+@check("rank_hot_group", """
+    SELECT o_orderkey, o_orderdate, rank() OVER (ORDER BY o_orderdate DESC) AS rank FROM orders""")
+def rank_hot_group(spark, sf):
+    """All rows as one group, with many ties."""
+    return ranking.rank_spread(fx.table(spark, sf, "orders").select("o_orderkey", "o_orderdate"), [], "o_orderdate")
+
+
 @check("top_in_group", """
     SELECT * FROM (SELECT o_orderpriority, o_orderkey, o_totalprice, CAST(rank() OVER (
         PARTITION BY o_orderpriority ORDER BY o_totalprice DESC) AS INTEGER) AS rank FROM orders)

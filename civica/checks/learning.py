@@ -8,7 +8,7 @@ from civica import fixtures as fx
 from civica.checks.registry import check
 from civica.checks.tables import sql
 from civica.fixed_values import MODEL_COLUMNS
-from civica.plans import kpis, price_model
+from civica.plans import kpis, place_ridge, price_model
 from civica.session import scratch_path
 from civica.sources import models
 
@@ -47,6 +47,16 @@ def price_model_query(spark, sf):
         name: F.round(name, 2) for name in ("coefficient", "intercept")})
 
 
+@check("place_ridge", sql("""
+    SELECT neighborhood, neighborhood_index, round(coefficient, 2) AS coefficient,
+           round(intercept, 2) AS intercept FROM model""", "model"))
+def place_ridge_query(spark, sf):
+    """The same model in closed form."""
+    train, _ = _split(spark, sf)
+    return place_ridge.fit_place_ridge(train).withColumns({
+        name: F.round(name, 2) for name in ("coefficient", "intercept")})
+
+
 def _quality_sql(part: str) -> str:
     return f"""
         SELECT '{part}' AS part,
@@ -81,6 +91,13 @@ def score_listings(spark, sf):
     return scored.withColumn("prediction", F.round("prediction", 2))
 
 
+@check("place_ridge_scores", SCORED_SQL)
+def place_ridge_scores(spark, sf):
+    train, test = _split(spark, sf)
+    scored = place_ridge.score_place_ridge(place_ridge.fit_place_ridge(train), test, KEY)
+    return scored.withColumn("prediction", F.round("prediction", 2))
+
+
 @check("kpi_price_model", SCORED_SQL)
 def kpi_price_model(spark, sf):
     """The whole job: join, split, fit, save, load and score."""

@@ -62,6 +62,22 @@ def _snapshot_columns(df):
         "snapshot", "property_id", "price", "parkingSpace.parkingPrice", "detailedType.typology")
 
 
+@check("collection_lifecycle", "SELECT n_nationkey, n_name, 'kept' AS name FROM nation")
+def collection_lifecycle(spark, sf):
+    """Created twice and filled; another one filled, dropped twice and created again."""
+    store, schema = scratch_path(spark, "lifecycle"), "n_nationkey bigint, n_name string"
+    nations = fx.table(spark, sf, "nation").select(F.col("n_nationkey").cast("bigint"), "n_name")
+    for name in ("kept", "gone"):
+        collections.create_collection(spark, name, schema, store)
+        collections.write_collection(nations, name, store)
+        collections.create_collection(spark, name, schema, store)
+    for _ in range(2):
+        collections.drop_collection(spark, "gone", store)
+    collections.create_collection(spark, "gone", schema, store)
+    found = collections.read_collections(spark, ["kept", "gone"], store)
+    return found["kept"].withColumn("name", F.lit("kept")).unionByName(found["gone"].withColumn("name", F.lit("gone")))
+
+
 @check("load_snapshots", SNAPSHOT_SQL)
 def load_snapshots(spark, sf):
     folder = scratch_path(spark, "load_snapshots")

@@ -53,12 +53,28 @@ def write_collection(
         writer.options(**_target(name, store, fmt)).save()
 
 
-def create_collection(spark: SparkSession, name: str, schema: T.StructType) -> None:
-    """Create an empty catalogue table unless it exists."""
-    if not spark.catalog.tableExists(name):
-        spark.createDataFrame([], schema).write.saveAsTable(name)
+def create_collection(
+    spark: SparkSession, name: str, schema: T.StructType | str, store: str | None = None, fmt: str = "parquet"
+) -> None:
+    """Create an empty collection of the given columns unless it exists; what is in an
+    existing one stays. Below a store it is a folder of a format that keeps types."""
+    if store is None:
+        if not spark.catalog.tableExists(name):
+            spark.createDataFrame([], schema).write.saveAsTable(name)
+    elif fmt in ("parquet", "orc"):
+        empty = spark.createDataFrame([], schema)
+        empty.write.format(fmt).mode("ignore").save(**_target(name, store, fmt))
+    else:
+        raise ValueError(f"an empty collection in {fmt} would lose its column types")
 
 
-def drop_collection(spark: SparkSession, name: str) -> None:
-    """Drop a catalogue table if it exists."""
-    spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", args={"name": name})
+def drop_collection(spark: SparkSession, name: str, store: str | None = None) -> None:
+    """Drop a collection if it exists: a catalogue table, or a folder below ``store`` through the
+    file system that Spark uses for it."""
+    if store is None:
+        spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", args={"name": name})
+        return
+    if not name.strip("/."):
+        raise ValueError("a collection needs a name")
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{store.rstrip('/')}/{name}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -11,6 +11,7 @@ from civica.fixed_values import MODEL_COLUMNS
 from civica.plans import kpis, place_ridge, price_model
 from civica.session import scratch_path
 from civica.sources import models
+from civica.sources.collections import read_collections, write_collection
 
 KEY = "property_id"
 
@@ -136,3 +137,15 @@ def model_as_rows(spark, sf):
     models.save_model(price_model.fit_price_model(train), path)
     rows = models.model_rows(spark, path)
     return rows.select("file", "length", F.sha2("content", 256).alias("digest"))
+
+
+@check("model_restored", SCORED_SQL)
+def model_restored(spark, sf):
+    """Saved, stored as a collection of rows, read, written back to files, loaded and scored."""
+    train, test = _split(spark, sf)
+    path, store, again = (scratch_path(spark, name) for name in ("model", "model_store", "model_again"))
+    models.save_model(price_model.fit_price_model(train), path)
+    write_collection(models.model_rows(spark, path), "model", store, append=False)
+    models.restore_model(read_collections(spark, ["model"], store)["model"], again)
+    scored = price_model.score(models.load_model(again), test, KEY)
+    return scored.withColumn("prediction", F.round("prediction", 2))

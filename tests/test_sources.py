@@ -189,3 +189,37 @@ def test_jobs_follow_headers_not_files(spark, tmp_path):
     assert counts[0] == counts[1]
     frames = files.load_files(spark, str(tmp_path / "n5"))
     assert [tuple(r) for r in frames["f003.csv"].collect()] == [("3", "x")]
+
+
+def test_collections_below_a_store(spark, rows, tmp_path):
+    store, schema = str(tmp_path / "store"), "id bigint, name string"
+    for _ in range(2):
+        collections.create_collection(spark, "c", schema, store)
+        empty = collections.read_collections(spark, ["c"], store)["c"]
+        assert empty.schema.simpleString() == "struct<id:bigint,name:string>" and empty.count() == 0
+    collections.write_collection(spark.range(2).selectExpr("id", "'x' AS name"), "c", store)
+    collections.create_collection(spark, "c", schema, store)
+    assert collections.read_collections(spark, ["c"], store)["c"].count() == 2
+    for _ in range(2):
+        collections.drop_collection(spark, "c", store)
+    with pytest.raises(AnalysisException):
+        collections.read_collections(spark, ["c"], store)
+    with pytest.raises(ValueError):
+        collections.create_collection(spark, "c", schema, store, fmt="csv")
+    with pytest.raises(ValueError):
+        collections.drop_collection(spark, "", store)
+
+
+def test_files_come_back_from_rows(spark, tmp_path):
+    data = [("metadata/part-0", b"\x00\xff text"), ("stages/0_a b/data/x.parquet", b""), ("top", bytes(range(256)) * 900)]
+    stored = spark.createDataFrame(data, "file string, content binary").repartition(3)
+    target = tmp_path / "again"
+    assert models.restore_model(stored, str(target)) == 3
+    assert {str(p.relative_to(target)): p.read_bytes() for p in target.rglob("*") if p.is_file()} == dict(data)
+    with pytest.raises(ValueError):
+        models.restore_model(stored, str(target))
+    for name in ("../out", "/etc/x", None):
+        bad = spark.createDataFrame([(name, b"x")], "file string, content binary")
+        with pytest.raises(Exception, match="no file of a model"):
+            models.restore_model(bad, str(tmp_path / f"bad{name is None}{len(name or '')}"))
+    assert not (tmp_path / "out").exists()

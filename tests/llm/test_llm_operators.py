@@ -1,5 +1,6 @@
 """The operators against brute force, and on odd rows."""
 
+import math
 import random
 import re
 
@@ -54,6 +55,30 @@ def test_top_k(spark, rows):
     assert got == sorted(want, key=repr)
 
 
+def test_top_k_of_vectors_of_any_length(spark, rows):
+    r = random.Random(2)
+    given = [(0, [1.0, 2.0, 0.5]), (1, [9e6, 1.0, 0.0]), (2, [3.0, 3.0, 3.0]), (3, [0.0, 0.0, 0.0])]
+    given += [(k, [r.choice([-1, 1]) * r.uniform(0.5, 1) * 2.0 ** r.choice([0, 8, 24, 26, 40, 50]) for _ in range(3)])
+              for k in range(4, 160)]
+    frame = spark.createDataFrame(given, "vec_id long, embedding array<double>")
+    got = rows(topk_search.top_k(frame.where("vec_id % 5 = 0"), frame), "query_id", "rank", "vec_id", "score")
+    whole = {k: [math.floor(256 * x) for x in v] for k, v in given}
+    want = []
+    for q in (k for k in whole if k % 5 == 0):
+        best = sorted((-sum(x * y for x, y in zip(whole[q], v)), k) for k, v in whole.items() if k != q)[:5]
+        want += [(q, n, k, max(min(-s, 2**63 - 1), -(2**63))) for n, (s, k) in enumerate(best, 1)]
+    assert got == sorted(want, key=repr)
+
+
+def test_top_k_of_nothing_and_of_other_dimensions(spark, rows):
+    empty = spark.createDataFrame([], "vec_id long, embedding array<float>, rank string, qid string")
+    assert topk_search.top_k(empty, empty).collect() == []
+    mixed = spark.createDataFrame(
+        [(0, [1.0, 1.0]), (1, [1.0]), (2, [2.0, 0.0]), (3, []), (4, [5.0])], "vec_id long, embedding array<float>")
+    assert topk_search.top_k(empty, mixed).collect() == []
+    assert rows(topk_search.top_k(mixed.where("vec_id < 2"), mixed)) == [(0, 1, 2, 131072), (1, 1, 4, 327680)]
+
+
 def test_license_scan(odd):
     found = {r.doc_id: r for r in license_scan.scanned(odd).collect()}
     assert found[1].n_words == 0 and found[1].labels == "" and found[1].first_word is None

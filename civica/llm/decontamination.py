@@ -160,9 +160,10 @@ def decontaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The documents that contain no item, with all their columns.
 
     A document is taken by its doc_id and text; one with a null id is judged by its text
-    as well. Repeated rows stay or go together.
+    as well. Repeated rows stay or go together. Without items all documents stay; an empty
+    table gives an empty one.
     """
-    key = F.xxhash64(F.col("text"), F.col("text").isNull())
+    key = F.xxhash64(docs["text"], docs["text"].isNull())
     judged = docs.select(key.alias("doc_id"), "text")
-    hits = stored(contained_items(judged, items, **options).select(F.col("doc_id").alias("_hit")).distinct(), "leaks")
-    return docs.join(hits, key == F.col("_hit"), "left_anti")
+    hits = stored(contained_items(judged, items, **options).select("doc_id").distinct(), "leaks")
+    return docs.join(hits, key == hits["doc_id"], "left_anti")

@@ -248,12 +248,12 @@ def deduplicated(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS
     A null text stays null, an empty one empty, both with counts of 0. Repeated rows are
     one document: they lose the same lines. Documents that lose all lines keep their row.
     Texts and lines of any length are taken whole. Columns of docs called n_lines, n_kept
-    or n_near are replaced.
+    or n_near, in any case, are replaced. An empty table gives an empty one.
     """
     kept = kept_lines(docs, edits, min_chars)
     text = docs["text"].cast("string")
     same = docs["doc_id"].cast("bigint").eqNullSafe(kept["_id"]) & (F.xxhash64(text) == kept["_key"])
-    columns = [docs[c] for c in docs.columns if c not in ("n_lines", "n_kept", "n_near")]
+    columns = [docs[f"`{c}`"] for c in docs.columns if c.lower() not in ("n_lines", "n_kept", "n_near")]
     joined = docs.join(kept, same, "left").select(
         F.struct(*columns).alias("_row"), F.split(text, "\n", -1).alias("_lines"),
         kept["kept"].alias("_kept"), kept["n_near"].alias("_near"))

@@ -305,3 +305,26 @@ def test_decontamination(spark, odd, rows):
     assert rows(found, "doc_id", "item_id", "n_shared") == [(3, 7, 2), (3, 7, 2), (None, 7, 2)]
     assert decontamination.decontaminated(odd, items).columns == odd.columns
     assert decontamination.decontaminated(odd, items).count() == len(ODD) - 3
+
+
+def test_clashing_names_in_any_case(spark, rows):
+    docs = spark.createDataFrame(
+        [(1, "a line of some length here\nx", 7, "p"), (2, "a line of some length here", 8, "q")],
+        "doc_id long, text string, N_LINES int, _hit string")
+    got = line_dedup.deduplicated(docs)
+    assert got.columns == ["doc_id", "text", "_hit", "n_lines", "n_kept", "n_near"]
+    assert rows(got, "doc_id", "n_lines", "n_kept", "_hit") == [(1, 2, 2, "p"), (2, 1, 0, "q")]
+    items = spark.createDataFrame([(5, "a line of some length here")], "item_id long, text string")
+    assert decontamination.decontaminated(docs, items).collect() == []
+    assert rows(decontamination.decontaminated(docs, items.limit(0)), "doc_id", "_hit") == [(1, "p"), (2, "q")]
+
+
+def test_no_documents(spark):
+    none = spark.createDataFrame([], TEXT)
+    items = spark.createDataFrame([(5, "one two three four five six")], "item_id long, text string")
+    for found in (
+        license_scan.scanned(none), sentencepiece_bpe.encoded(none), line_dedup.deduplicated(none),
+        jaccard_join.linked(none), jaccard_join.one_of_each(none), decontamination.contained_items(none, items),
+        decontamination.decontaminated(none, items),
+    ):
+        assert found.collect() == []

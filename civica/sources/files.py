@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import logging
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
+import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -133,6 +135,99 @@ def load_files(
     return frames
 
 
+def merged_type(a: T.DataType, b: T.DataType) -> T.DataType | None:
+    """The type that holds the columns and fields of both, names compared without case;
+    None if a column or field of both has two types."""
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        fields = {f.name.lower(): f for f in a.fields}
+        for field in b.fields:
+            known = fields.setdefault(field.name.lower(), field)
+            kind = merged_type(known.dataType, field.dataType)
+            if kind is None:
+                return None
+            fields[field.name.lower()] = T.StructField(known.name, kind)
+        return T.StructType(list(fields.values()))
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        kind = merged_type(a.elementType, b.elementType)
+        return kind and T.ArrayType(kind)
+    if isinstance(a, T.MapType) and isinstance(b, T.MapType):
+        key, value = merged_type(a.keyType, b.keyType), merged_type(a.valueType, b.valueType)
+        return T.MapType(key, value) if key and value else None
+    return a if a == b else None
+
+
+def footer_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """``entry, columns, files``: the Parquet files below each entry of ``folder``, by the
+    columns that their footers name. One job; tasks read footers, no data."""
+
+    def described(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            found = []
+            for uri in frame["uri"]:
+                system, place = fs.FileSystem.from_uri(uri)
+                with system.open_input_file(place) as file:
+                    columns = pq.read_schema(file).remove_metadata()
+                found.append(columns.to_string(truncate_metadata=False, show_field_metadata=False))
+            yield frame.drop(columns="uri").assign(columns=found)
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    files = files.load(folder).select(
+        F.col("_metadata.file_path").alias("uri"), F.col("path"), path_below(F.col("path"), folder).alias("entry"))
+    named = files.mapInPandas(described, "path string, entry string, columns string")
+    return named.groupBy("entry", "columns").agg(F.sort_array(F.collect_list("path")).alias("files"))
+
+
+def snapshot_parts(spark: SparkSession, folder: str) -> list[tuple[T.StructType, list[str]]]:
+    """The Parquet files below a folder as few (columns, paths) as one reader each can take:
+    files whose columns agree in type, whatever columns they lack, go together.
+
+    Besides one scan of footers, jobs grow with the number of different schemas, not of
+    files or snapshots. Paths are entries of the folder where all their files go together.
+    """
+    rows = sorted(footer_groups(spark, folder).collect(), key=lambda row: row["files"])
+    schemas: dict[str, T.StructType] = {}
+    for row in rows:
+        if row["columns"] not in schemas:
+            schemas[row["columns"]] = spark.read.parquet(literal_path(row["files"][0])).schema
+    parts: list[T.StructType] = []
+    part_of: dict[str, int] = {}
+    for columns, schema in schemas.items():
+        for n, part in enumerate(parts):
+            if both := merged_type(part, schema):
+                parts[n], part_of[columns] = both, n
+                break
+        else:
+            part_of[columns] = len(parts)
+            parts.append(schema)
+    if len(parts) <= 1:
+        return [(part, [folder]) for part in parts]
+    places: dict[str, set[int]] = {}
+    for row in rows:
+        places.setdefault(row["entry"], set()).add(part_of[row["columns"]])
+    paths: list[dict[str, None]] = [{} for _ in parts]
+    for row in rows:
+        whole = len(places[row["entry"]]) == 1
+        entry = literal_path(f"{folder.rstrip('/')}/{row['entry']}")
+        paths[part_of[row["columns"]]] |= dict.fromkeys([entry] if whole else map(literal_path, row["files"]))
+    return [(part, list(found)) for part, found in zip(parts, paths)]
+
+
+def literal_path(path: str) -> str:
+    """A path in which no character is taken for a pattern."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
+def has_native_reader(spark: SparkSession, folder: str) -> bool:
+    """Whether tasks can open files of the folder's file system themselves."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    uri = path.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().toString()
+    try:
+        fs.FileSystem.from_uri(uri if uri.count("/") > 1 else f"{uri}/")
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError):
+        return False
+    return True
+
+
 def load_snapshots(
     spark: SparkSession,
     folder: str,
@@ -143,28 +238,23 @@ def load_snapshots(
 
     The folder name becomes a column. Schemas of the snapshots are merged; pass a
     schema to spare the pass over all file footers. Where a column's types have no
-    common one, snapshots are read by groups of equal schema and the column becomes what
-    ``union_frames`` makes of it.
+    common one, files are read by groups of agreeing schemas and the column becomes what
+    ``union_frames`` makes of it. On a file system that pyarrow doesn't know, Spark merges
+    the schemas, and types that differ raise.
     """
     reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
-    reader = reader.schema(schema) if schema else reader.option("mergeSchema", True)
     # File paths are percent-encoded, and a plus sign in them is a plus sign.
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
     def named(frame: DataFrame) -> DataFrame:
         return frame.withColumn(out, path_below(path, folder))
 
-    try:
-        return named(reader.parquet(folder))
-    except (PySparkException, Py4JJavaError) as error:  # raised by a task, so not always wrapped
-        if "CANNOT_MERGE" not in str(error):
-            raise
-    alike: dict[str, list[str]] = {}
-    for name in list_entries(spark, folder):
-        if not name.startswith("_"):
-            place = f"{folder.rstrip('/')}/{name}"
-            alike.setdefault(reader.parquet(place).schema.json(), []).append(place)
-    return union_frames([named(reader.parquet(*places)) for places in alike.values()])
+    if schema:
+        return named(reader.schema(schema).parquet(folder))
+    parts = snapshot_parts(spark, folder) if has_native_reader(spark, folder) else []
+    if not parts:
+        return named(reader.option("mergeSchema", True).parquet(folder))
+    return union_frames([named(reader.schema(columns).parquet(*paths)) for columns, paths in parts])
 
 
 def register(frames: Mapping[str, DataFrame], prefix: str = "") -> list[str]:

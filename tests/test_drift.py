@@ -2,6 +2,7 @@
 
 import logging
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import PySparkException
 
@@ -39,6 +40,44 @@ def test_snapshots_with_other_types(spark, rows, tmp_path):
         ("2020_01", 1, "5"), ("2020_02", 2, "7.5"), ("2020_03", 3, "x")]
 
 
+def test_snapshots_start_jobs_by_schema(spark, rows, tmp_path):
+    kinds = [("int", "5", "price"), ("double", "7.5", "Price"), ("string", "'x'", "price")]
+
+    def jobs(folder, snapshots):
+        for n in range(snapshots):
+            kind, value, name = kinds[n % 3]
+            rest = ", 1 AS more" if n % 2 else ""
+            table = spark.sql(f"SELECT {n} AS id, CAST({value} AS {kind}) AS {name}{rest}").toArrow()
+            (tmp_path / folder / f"s {n}+[a]").mkdir(parents=True)
+            pq.write_table(table, tmp_path / folder / f"s {n}+[a]" / "part.parquet")
+        spark.sparkContext.setJobGroup(folder, folder)
+        try:
+            frame = files.load_snapshots(spark, str(tmp_path / folder))
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return frame, len(spark.sparkContext.statusTracker().getJobIdsForGroup(folder))
+
+    few, started = jobs("few", 6)
+    _, middle = jobs("middle", 105)
+    many, also = jobs("many", 200)
+    # Spark lists more than 32 paths of a reader in a job.
+    assert started <= middle == also <= started + 4
+    assert many.count() == 200 and [c.lower() for c in many.columns] == ["id", "price", "more", "snapshot"]
+    assert rows(few, "snapshot", "id", "price", "more")[:3] == [
+        ("s 0+[a]", 0, "5", None), ("s 1+[a]", 1, "7.5", 1), ("s 2+[a]", 2, "x", None)]
+
+
+def test_snapshot_of_mixed_files_and_nested_columns(spark, rows, tmp_path):
+    a = spark.sql("SELECT 1 AS id, named_struct('x', 1, 'y', 'b') AS s, 1L AS n")
+    b = spark.sql("SELECT 2 AS id, named_struct('x', 2, 'z', 2.5D) AS s, 2L AS n")
+    c = spark.sql("SELECT 3 AS id, named_struct('x', 3) AS s, 3.5D AS n")
+    for frame in (a, b, c):
+        frame.write.mode("append").parquet(str(tmp_path / "2020"))
+    got = files.load_snapshots(spark, str(tmp_path))
+    assert rows(got, "snapshot", "id", "s.x", "s.y", "s.z", "n") == [
+        ("2020", 1, 1, "b", None, 1.0), ("2020", 2, 2, None, 2.5, 2.0), ("2020", 3, 3, None, None, 3.5)]
+
+
 def test_views_are_cleaned_and_collisions_refused(spark, rows):
     df = spark.createDataFrame([(1,)], "id int")
     assert files.register({"2015-x.csv": df, "b.json": df}) == ["_2015_x", "b"]

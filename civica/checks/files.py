@@ -211,35 +211,74 @@ def _raw_zone(spark, sf) -> batch.RawZone:
     return zone
 
 
-@check("batch_tables", sql("""
-    SELECT 'listings' AS collection, (SELECT count(*) FROM listing) AS n
-    UNION ALL SELECT 'income', (
-        SELECT count(*) FROM (
-            SELECT DISTINCT d.name, n.name, "RFD", pop, year FROM raw_income r
-            LEFT JOIN lookup_district d ON r.district_name = d.raw
-            LEFT JOIN lookup_neighborhood n ON r."neigh_name " = n.raw) AS t(a, b, c, d, e))
-    UNION ALL SELECT 'elections', (
-        SELECT count(*) FROM (
-            SELECT DISTINCT d.name, n.name, "Party", "Votes" FROM elections e
-            LEFT JOIN lookup_district d ON lower(e.district) = d.raw
-            LEFT JOIN lookup_neighborhood n ON lower(e.neighborhood) = n.raw) AS t(a, b, c, d))
-    UNION ALL SELECT name, places FROM (
-        SELECT count(DISTINCT d.name) AS places FROM listing l
-        JOIN lookup_district d ON lower(l.district) = d.raw
-        JOIN lookup_neighborhood n ON lower(l.neighborhood) = n.raw),
-        (VALUES ('kpi1'), ('kpi2'), ('kpi3')) AS k(name)""",
+BATCH_NAMES = """
+    LEFT JOIN lookup_district d ON lower({}) = d.raw LEFT JOIN lookup_neighborhood n ON lower({}) = n.raw"""
+
+
+@check("batch_tables", sql(f"""
+    SELECT * FROM (
+    WITH l AS (
+        SELECT d.name AS district, n.name AS neighborhood, property_id, price
+        FROM listing l {BATCH_NAMES.format("l.district", "l.neighborhood")}),
+    i AS (
+        SELECT DISTINCT d.name AS district, n.name AS neighborhood, "RFD", pop, year
+        FROM raw_income r {BATCH_NAMES.format("r.district_name", 'r."neigh_name "')}),
+    e AS (
+        SELECT DISTINCT d.name AS district, n.name AS neighborhood, "Party", "Votes"
+        FROM elections e {BATCH_NAMES.format("e.district", "e.neighborhood")}),
+    j AS (SELECT l.*, i."RFD" FROM l JOIN i USING (neighborhood, district)),
+    share AS (
+        SELECT district, votes / people AS participation
+        FROM (SELECT district, sum("Votes") AS votes FROM e WHERE "Party" = 'Electors' GROUP BY district)
+        JOIN (SELECT district, sum(pop) AS people FROM i GROUP BY district) USING (district)),
+    won AS (
+        SELECT *, rank() OVER (PARTITION BY district ORDER BY votes DESC) AS place
+        FROM (SELECT district, "Party", sum("Votes") AS votes FROM l JOIN e USING (neighborhood, district)
+              WHERE "Party" NOT IN ('Electors', 'Votants', 'Vots vàlids') GROUP BY ALL)),
+    priced AS (SELECT district, avg(price) AS avg_price FROM j GROUP BY district)
+    SELECT 'listings' AS collection, NULL AS name, count(*) AS n, NULL AS figure FROM l
+    UNION ALL SELECT 'income', NULL, count(*), NULL FROM i
+    UNION ALL SELECT 'elections', NULL, count(*), NULL FROM e
+    UNION ALL SELECT 'predictive_data', NULL, count(*), round(avg(price), 4) FROM j
+    UNION ALL SELECT 'avgprice_district', district, NULL, round(avg_price, 4) FROM priced
+    UNION ALL SELECT 'avgprice_neighborhood', neighborhood, NULL, round(avg(price), 4) FROM j GROUP BY neighborhood
+    UNION ALL SELECT 'kpi1', district, NULL, round(avg_price, 4) FROM priced JOIN share USING (district)
+    UNION ALL SELECT 'kpi1 participation', district, NULL, round(participation, 6)
+              FROM priced JOIN share USING (district)
+    UNION ALL SELECT 'kpi2', district, NULL, round(CASE WHEN NOT isnan(r) THEN r END, 6)
+              FROM (SELECT district, corr(price, "RFD") AS r FROM j GROUP BY district)
+    UNION ALL SELECT 'kpi3', district || ' ' || "Party", NULL, round(votes, 2) FROM won WHERE place = 1)""",
     "listing", "raw_income", "elections", "lookup_district", "lookup_neighborhood"))
 def batch_tables(spark, sf):
-    """The batch run from raw files to stored results; rows of each stored table."""
+    """The batch run from raw files to stored results: rows of the formatted collections and
+    every figure of the results."""
     formatted, results = scratch_path(spark, "formatted"), scratch_path(spark, "results")
     batch.run_batch(spark, _raw_zone(spark, sf), formatted, results)
     stored = collections.read_collections(spark, batch.FORMATTED, formatted)
-    stored |= collections.read_collections(spark, ["kpi1", "kpi2", "kpi3"], results)
-    counts = [
-        frame.agg(F.lit(name).alias("collection"), F.count(F.lit(1)).alias("n"))
-        for name, frame in stored.items()
+    published = collections.read_collections(spark, [*batch.KPI_SCHEMAS, "predictive_data"], results)
+    rows = [
+        frame.agg(
+            F.lit(name).alias("collection"), F.lit(None).cast("string").alias("name"),
+            F.count(F.lit(1)).alias("n"), figure.cast("double").alias("figure"))
+        for name, frame, figure in [
+            *[(name, frame, F.lit(None)) for name, frame in stored.items()],
+            ("predictive_data", published["predictive_data"], F.round(F.avg("price"), 4))]
+    ]
+    figures = {
+        "avgprice_district": ("avgprice_district", F.col("district"), F.round("avg_price", 4)),
+        "avgprice_neighborhood": ("avgprice_neighborhood", F.col("neighborhood"), F.round("avg_price", 4)),
+        "kpi1": ("kpi1", F.col("district"), F.round("avg_price", 4)),
+        "kpi1 participation": ("kpi1", F.col("district"), F.round("participation", 6)),
+        "kpi2": ("kpi2", F.col("district"), F.round("correlation", 6)),
+        "kpi3": ("kpi3", F.concat_ws(" ", "district", "Party"), F.round("total_votes", 2)),
+    }
+    rows += [
+        published[table].select(
+            F.lit(name).alias("collection"), key.alias("name"), F.lit(None).cast("bigint").alias("n"),
+            figure.alias("figure"))
+        for name, (table, key, figure) in figures.items()
     ]
-    result = counts[0]
-    for count in counts[1:]:
-        result = result.unionByName(count)
+    result = rows[0]
+    for more in rows[1:]:
+        result = result.unionByName(more)
     return result

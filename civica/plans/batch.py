@@ -18,7 +18,7 @@ from civica.plans.reconcile import (
     reconcile_listings,
 )
 from civica.sources.collections import read_collections, write_collection
-from civica.sources.exports import export_csv, publish_csv
+from civica.sources.exports import export_all, export_csv, publish_csv
 from civica.sources.files import load_files, load_snapshots
 from civica.sources.models import model_rows, save_model
 
@@ -40,6 +40,8 @@ KPI_SCHEMAS = {
     "kpi1": "district string, avg_price double, participation double",
     "kpi2": "district string, correlation double",
     "kpi3": "district string, Party string, total_votes double, rank int",
+    "avgprice_district": "district string, avg_price double",
+    "avgprice_neighborhood": "neighborhood string, avg_price double",
 }
 
 
@@ -88,6 +90,8 @@ def run_batch(
 ) -> None:
     """Run everything once: store the formatted data, then the KPIs and the model.
 
+    Every table of results is written as CSV and published as a collection from there: the
+    key figures as one file in order, the rows of the model in as many as there are tasks.
     Results are computed from the stored collections. These are plain files whose size
     Spark knows, and a lost executor costs no more than re-reading them.
     """
@@ -100,15 +104,21 @@ def run_batch(
         "kpi1": kpis.price_participation(listings, income, elections),
         "kpi2": kpis.price_income_correlation(listings, income),
         "kpi3": kpis.top_party_weighted(listings, elections),
+        "avgprice_district": kpis.average_price(listings, income),
+        "avgprice_neighborhood": kpis.average_price(listings, income, by="neighborhood"),
     }
     for name, frame in figures.items():
         path = f"{results}/csv/{name}"
-        export_csv(frame, path, order=["district"])
+        order = [F.desc("avg_price"), *frame.columns[:1]] if name.startswith("avgprice") else ["district"]
+        export_csv(frame, path, order=order)
         publish_csv(spark, path, name, results, KPI_SCHEMAS[name])
 
     rows = kpis.listings_with_income(listings, income)
     rows = rows.select(split_key, *fv.MODEL_COLUMNS)
-    train, _ = price_model.stored_split(rows, split_key, f"{results}/predictive_data")
+    export_all(rows, f"{results}/csv/model_data")
+    publish_csv(spark, f"{results}/csv/model_data", "predictive_data", results, rows.schema)
+    data = read_collections(spark, ["predictive_data"], results)["predictive_data"]
+    train, _ = price_model.split(data, split_key)
     model = price_model.fit_price_model(train)
     folder = f"{results}/linear_regression"
     save_model(model, folder)

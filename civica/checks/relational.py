@@ -176,6 +176,21 @@ def rank_hot_group(spark, sf):
     return ranking.rank_spread(fx.table(spark, sf, "orders").select("o_orderkey", "o_orderdate"), [], "o_orderdate")
 
 
+@check("collect_chunks", """
+    SELECT o_orderstatus, (place // 1000)::BIGINT AS chunk, count(*) AS n,
+           string_agg(o_custkey, ',' ORDER BY o_custkey) AS customers
+    FROM (SELECT o_orderstatus, o_custkey,
+                 row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_custkey) - 1 AS place FROM orders)
+    GROUP BY o_orderstatus, chunk""")
+def collect_chunks(spark, sf):
+    """The customers of all orders of a state, a list for every 1000."""
+    lists = aggregates.collect_chunks(
+        fx.table(spark, sf, "orders"), ["o_orderstatus"], "o_custkey", "customers", size=1000)
+    return lists.select(
+        "o_orderstatus", "chunk", F.size("customers").cast("bigint").alias("n"),
+        F.array_join("customers", ",").alias("customers"))
+
+
 @check("top_in_group", """
     SELECT * FROM (SELECT o_orderpriority, o_orderkey, o_totalprice, CAST(rank() OVER (
         PARTITION BY o_orderpriority ORDER BY o_totalprice DESC) AS INTEGER) AS rank FROM orders)

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from civica.fixed_values import MAX_NULL_SHARE, MAX_TOP_SHARE, MIN_STDDEV
 from civica.operators.filters import drop_incomplete
+from civica.operators.ordering import stored
 
 TOTAL = "__total"
 
@@ -122,13 +123,16 @@ def clean_full(
     max_nulls: float = MAX_NULL_SHARE,
     min_stddev: float = MIN_STDDEV,
     max_top: float = MAX_TOP_SHARE,
+    store: bool = False,
 ) -> DataFrame:
     """Drop sparse columns, incomplete rows, near-constant numbers and dominant texts.
 
     Three passes in all: NULL counts; then deviations and majority candidates of the
     complete rows together, as neither step changes the rows; then the candidates'
-    counts.
+    counts. Each reads df anew, which suits a table; with ``store`` df is written to the
+    scratch folder first, for one that takes joins or aggregates to compute.
     """
+    df = stored(df, "uncleaned") if store else df
     complete = drop_incomplete(drop_sparse_columns(df, max_nulls))
     numbers, texts = numeric_columns(complete), text_columns(complete)
     row = complete.agg(

@@ -13,7 +13,7 @@ from civica.functions.numbers import to_double
 
 
 def project(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.select(*columns)
+    return df.select(*[F.col(f"`{name}`") for name in columns])
 
 
 def drop_columns(df: DataFrame, columns: Iterable[str]) -> DataFrame:
@@ -24,7 +24,7 @@ def drop_columns(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 def recast_numbers(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Turn the named columns, where present, into doubles; bad text becomes NULL."""
     present = [name for name in columns if name in df.columns]
-    return df.withColumns({name: to_double(F.col(name)) for name in present})
+    return df.withColumns({name: to_double(F.col(f"`{name}`")) for name in present})
 
 
 def flatten_struct(df: DataFrame, column: str) -> DataFrame:
@@ -36,7 +36,7 @@ def flatten_struct(df: DataFrame, column: str) -> DataFrame:
     if column not in df.columns:
         return df
     fields = df.schema[column].dataType.fieldNames()
-    lifted = {name: F.col(column).getField(name) for name in fields}
+    lifted = {name: F.col(f"`{column}`").getField(name) for name in fields}
     if column in lifted:
         return df.withColumns(lifted)
     return df.withColumns(lifted).drop(column)
@@ -44,7 +44,7 @@ def flatten_struct(df: DataFrame, column: str) -> DataFrame:
 
 def first_record(df: DataFrame, column: str, fields: Sequence[str]) -> DataFrame:
     """Fields of an array's first record as columns; an empty array gives NULLs."""
-    record = F.get(F.col(column), F.lit(0))
+    record = F.get(F.col(f"`{column}`"), F.lit(0))
     return df.withColumns({name: record.getField(name) for name in fields}).drop(column)
 
 
@@ -100,7 +100,7 @@ def align_types(df: DataFrame, target: T.StructType) -> DataFrame:
     """Give the columns shared with ``target`` its types; values that do not fit are NULL."""
     wanted = {field.name: field.dataType for field in target.fields}
     changed = {
-        field.name: F.col(field.name).try_cast(wanted[field.name])
+        field.name: F.col(f"`{field.name}`").try_cast(wanted[field.name])
         for field in df.schema.fields
         if field.name in wanted and field.dataType != wanted[field.name]
     }

@@ -4,8 +4,9 @@ import random
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from civica.operators import ranking
+from civica.operators import aggregates, filters, profiling, ranking, shaping
 from civica.operators.ordering import numbered
 
 
@@ -50,3 +51,32 @@ def test_one_group_is_ranked_by_many_tasks(spark):
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
+
+
+def test_lists_of_bounded_parts(spark, rows):
+    df = frame(spark)
+    got = aggregates.collect_chunks(df, ["g"], "v.x", "values", size=7)
+    want = {}
+    for r in df.where("`v.x` is not null").collect():
+        want.setdefault(r["g"], []).append(r["v.x"])
+    assert rows(got) == sorted(
+        ((g, n // 7, sorted(found)[n:n + 7]) for g, found in want.items() for n in range(0, len(found), 7)), key=repr)
+    whole = aggregates.collect_chunks(df, [], "part", "chunk_values", size=1000)
+    assert rows(whole) == [(0, list(range(600)))]
+    assert aggregates.collect_chunks(df.limit(0), ["g"], "v.x", "values").collect() == []
+
+
+def test_names_with_dots(spark, rows):
+    df = spark.createDataFrame([(1, "2", (3,)), (None, "x", (4,))], "`a.b` int, `c.d` string, `e.f` struct<x: int>")
+    assert rows(shaping.project(df, ["a.b"])) == [(1,), (None,)]
+    assert rows(shaping.recast_numbers(df, ["c.d"]).select("`c.d`")) == [(2.0,), (None,)]
+    assert shaping.flatten_struct(df, "e.f").columns == ["a.b", "c.d", "x"]
+    assert rows(filters.keep_equal(df, "c.d", "x").select("`c.d`")) == [("x",)]
+    assert filters.keep_not_null(df, "a.b").count() == 1
+    assert shaping.align_types(df, T.StructType([T.StructField("c.d", T.IntegerType())])).schema["c.d"].dataType == T.IntegerType()
+
+
+def test_cleaning_of_a_stored_input(spark, rows):
+    df = spark.range(200).selectExpr("id * 1.5D AS v", "1.0D AS flat", "cast(id % 50 as string) AS t", "'x' AS top")
+    assert rows(profiling.clean_full(df, store=True)) == rows(profiling.clean_full(df))
+    assert profiling.clean_full(df, store=True).columns == ["v", "t"]

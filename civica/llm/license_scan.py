@@ -1,12 +1,12 @@
 """License scans by a positional index of rare words; DataFrame functions only.
 
-Of every template the words that are rarest over all documents are its probes. Each
-occurrence of a licence word of high inverse document frequency is looked up in the
-probes' postings; position minus posting is where the template would begin. A beginning
-stays if enough probes stand at their relative positions, and is a match if the
-template's mandatory phrases stand inside it. Of ``n`` probes of which ``least`` must
-stand in place, one of the ``n - least + 1`` rarest does, so only those have postings and
-no beginning is missed, however many licence words a document holds.
+Each occurrence of a licence word of high inverse document frequency is looked up in the
+templates' postings; position minus posting is where a template would begin. A beginning is
+a match if enough of the template's words stand at their relative positions and its
+mandatory phrases stand inside it. Of ``m`` words of which ``least`` must stand in place, any
+``m - least + 1`` hold one that does, so only a template's rarest words have postings and
+no beginning is missed, however many licence words a document holds. Rarity decides what is
+looked up, never what matches: that rests on the template and the document alone.
 
 Both passes only map documents. What is gathered is a count for each word of the
 templates, whose number the templates bound.
@@ -68,8 +68,7 @@ TEMPLATES = (
              ("free and unencumbered software",)),
 )
 
-PROBES = 6  # of each template
-PROBE_SHARE = 0.6
+SHARE = 0.6  # of a template's words that must stand in place
 SLACK = 2  # words that a phrase may lie beyond a template's ends
 
 
@@ -85,22 +84,25 @@ def document_counts(words: DataFrame, vocabulary: list[str]) -> tuple[int, dict[
     return words.count(), {w: found.get(w, 0) for w in vocabulary}
 
 
-def chosen_probes(templates: tuple[Template, ...], counts: dict[str, int]) -> list[list[tuple[str, int]]]:
-    """The rarest words of each template with their places; words without a document
-    can't be found, so they are no probes."""
-    chosen = []
-    for template in templates:
-        places: dict[str, int] = {}
-        for place, word in enumerate(template.text.split()):
-            places.setdefault(word, place)
-        ranked = sorted((counts[w], w) for w in places if counts[w])
-        chosen.append([(w, places[w]) for _, w in ranked[:PROBES]])
-    return chosen
+def least_in_place(template: Template) -> int:
+    """How many of a template's words must stand in place."""
+    return math.ceil(SHARE * len(template.text.split()))
 
 
-def least_in_place(probes: list[tuple[str, int]]) -> int:
-    """How many of a template's probes must stand in place."""
-    return max(1, math.ceil(PROBE_SHARE * len(probes)))
+def posted_words(template: Template, counts: dict[str, int]) -> list[str]:
+    """The rarest words of a template, so many that a match holds one of them in place.
+    Words without a document stand nowhere, so they need no posting."""
+    words = template.text.split()
+    spare = len(words) - least_in_place(template) - sum(not counts[w] for w in words)
+    chosen = []
+    if spare < 0:  # too few of the words stand anywhere
+        return chosen
+    for w in sorted({w for w in words if counts[w]}, key=lambda w: (counts[w], w)):
+        chosen.append(w)
+        spare -= words.count(w)
+        if spare < 0:
+            break
+    return chosen
 
 
 def at(words: Column, place: Column) -> Column:
@@ -141,10 +143,9 @@ def scanned(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES,
     words = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_words(F.col("text")).alias("words"))
     vocabulary = sorted({w for t in templates for w in t.text.split()})
     total, counts = document_counts(words, vocabulary)
-    probes = chosen_probes(templates, counts)
     idf = {w: math.log((total + 1) / (counts[w] + 1)) for w in vocabulary}
-    posted = [found[: len(found) - least_in_place(found) + 1] for found in probes]
-    indexed = sorted({w for found in posted for w, _ in found}, key=lambda w: (-idf[w], w))
+    posted = [posted_words(t, counts) for t in templates]
+    indexed = sorted({w for found in posted for w in found}, key=lambda w: (-idf[w], w))
 
     firsts = F.lit(sorted({phrase.split()[0] for phrase, _ in phrases}))
     none = F.array().cast("array<struct<place:bigint,label:string>>")
@@ -154,12 +155,11 @@ def scanned(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES,
         # The index: for each word its templates and places; and each template's own row.
         index = F.create_map(*[x for word in indexed for x in (F.lit(word), F.array(*[
             F.struct(F.lit(t).alias("template"), F.lit(place).alias("place"))
-            for t, found in enumerate(posted) for w, place in found if w == word]))])
+            for t, found in enumerate(posted) if word in found
+            for place, w in enumerate(templates[t].text.split()) if w == word]))])
         table = F.array(*[F.struct(
             F.lit(t.label).alias("label"), F.lit(t.text.split()).alias("words"),
-            F.lit([w for w, _ in found] or [""]).alias("probes"), F.lit([p for _, p in found] or [0]).alias("places"),
-            F.lit(least_in_place(found)).alias("least"),
-            F.lit([f" {p} " for p in t.phrases]).alias("phrases")) for t, found in zip(templates, probes)])
+            F.lit(least_in_place(t)).alias("least"), F.lit([f" {p} " for p in t.phrases]).alias("phrases")) for t in templates])
         rows = rows.withColumn("rare", F.array_intersect(F.lit(indexed), F.col("words")))
         placed = F.filter(F.transform("words", lambda w, i: F.struct(w.alias("word"), i.alias("place"))),
                           lambda x: F.array_contains("rare", x["word"]))
@@ -167,9 +167,9 @@ def scanned(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES,
             index[x["word"]], lambda p: F.struct(p["template"].alias("template"), (x["place"] - p["place"]).alias("start"))))))
         text = F.col("words")
 
-        def in_place(x: Column, t: Column) -> Column:
-            hits = F.zip_with(t["probes"], t["places"], lambda w, p: at(text, x["start"] + p) == w)
-            return F.size(F.filter(hits, lambda h: F.coalesce(h, F.lit(False)))) >= t["least"]
+        def hits(x: Column, t: Column) -> Column:
+            same = F.transform(t["words"], lambda w, i: F.coalesce(at(text, x["start"] + i) == w, F.lit(False)))
+            return F.size(F.filter(same, lambda h: h))
 
         def holds(x: Column, t: Column) -> Column:
             begin = F.greatest(x["start"] - SLACK, F.lit(0))
@@ -177,18 +177,14 @@ def scanned(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES,
             joined = F.concat(F.lit(" "), F.array_join(inside, " "), F.lit(" "))
             return F.forall(t["phrases"], lambda p: F.contains(joined, p))
 
-        def share(x: Column, t: Column) -> Column:
-            same = F.transform(t["words"], lambda w, i: F.coalesce(at(text, x["start"] + i) == w, F.lit(False)))
-            return F.size(F.filter(same, lambda s: s)) / F.size(t["words"])
-
         def of(x: Column) -> Column:
             return F.get(table, x["template"])
 
-        rows = rows.withColumn("starts", F.when(F.size("rare") > 0, F.filter(starts, lambda x: in_place(x, of(x)))))
+        rows = rows.withColumn("starts", F.when(F.size("rare") > 0, F.filter(starts, lambda x: hits(x, of(x)) >= of(x)["least"])))
         kept = F.filter(F.coalesce("starts", F.array().cast("array<struct<template:int,start:int>>")),
                         lambda x: holds(x, of(x)))
         matches = F.transform(kept, lambda x: F.struct(
-            x["template"].alias("template"), x["start"].alias("start"), share(x, of(x)).alias("share"),
+            x["template"].alias("template"), x["start"].alias("start"), (hits(x, of(x)) / F.size(of(x)["words"])).alias("share"),
             of(x)["label"].alias("label")))
         rows = rows.withColumn("matches", matches)
     else:

@@ -85,16 +85,17 @@ def test_license_scan(odd):
     assert (found[5].n_base, found[5].first_word, found[5].last_word, found[5].base_labels) == (2, 0, 3, "cc-by,mit")
 
 
-def brute_matches(words, probes):
-    """Every template at every beginning where enough of its probes stand in place."""
+def brute_matches(words):
+    """Every template at every beginning where enough of its words stand in place."""
     found = set()
     for t, template in enumerate(license_scan.TEMPLATES):
-        size = len(template.text.split())
+        wanted = template.text.split()
+        size = len(wanted)
         for start in range(-size, len(words)):
-            hits = sum(0 <= start + p < len(words) and words[start + p] == w for w, p in probes[t])
+            hits = sum(0 <= start + p < len(words) and words[start + p] == w for p, w in enumerate(wanted))
             begin = max(start - license_scan.SLACK, 0)
             inside = f" {' '.join(words[begin: max(start + size + license_scan.SLACK, begin)])} "
-            if hits and hits >= 0.6 * len(probes[t]) and all(f" {p} " in inside for p in template.phrases):
+            if hits >= 0.6 * size and all(f" {p} " in inside for p in template.phrases):
                 found.add((t, start))
     return found
 
@@ -111,16 +112,23 @@ def test_license_matches(spark):
         texts.append(" ".join(words[r.randrange(5):]))
     texts += [" ".join(r.choice(vocabulary) for _ in range(300)) for _ in range(5)]
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    counts = {w: sum(w in t.split() for t in texts) for w in vocabulary}
-    probes = license_scan.chosen_probes(license_scan.TEMPLATES, counts)
     found = {x.doc_id: x for x in license_scan.scanned(frame).collect()}
     for k, text in enumerate(texts):
         got = [(m.template, m.start) for m in found[k].matches]
-        assert len(got) == len(set(got)) and set(got) == brute_matches(text.split(), probes)
+        assert len(got) == len(set(got)) and set(got) == brute_matches(text.split())
     everything = ",".join(sorted({t.label for t in license_scan.TEMPLATES} | {"apache"}))
     assert found[2 * len(notices)].labels == found[2 * len(notices) + 1].labels == everything
 
 
+def test_license_label_depends_on_the_document_alone(spark):
+    text = "apache license version 2 0"
+    alone = spark.createDataFrame([(0, text)], "doc_id long, text string")
+    others = [t.text for t in license_scan.TEMPLATES] * 3 + ["licensed under licensed under the the"] * 20
+    among = spark.createDataFrame([(0, text), *enumerate(others, 1)], "doc_id long, text string")
+    found = [license_scan.scanned(docs).where("doc_id = 0").first() for docs in (alone, among)]
+    assert found[0] == found[1] and found[0].labels == "apache,apache-2" and found[0].matches[0].start == -3
+
+
 def test_sentencepiece_round_trip(spark, odd):
     texts = ["a▁b", "  two  spaces ", "日本語 é\n\t\x00", "", None, "word " * 50]
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")

@@ -131,6 +131,17 @@ def sketches(docs: DataFrame, width: int, percent: int) -> DataFrame:
     return docs.mapInArrow(make, SKETCH)
 
 
+def class_places(filled: DataFrame, classes: DataFrame) -> DataFrame:
+    """``place, node``: where each class meets others, told by its picked document alone, so
+    that a group of copies gives its places once (repeated rows of that document again)."""
+    picks = bounded_broadcast(classes.select(
+        F.col("set_id").alias("_set"), F.col("pick.doc_id").alias("_id"), F.col("pick.text_key").alias("_key")))
+    same = (filled["set_id"] == picks["_set"]) & (filled["text_key"] == picks["_key"]) & (
+        filled["doc_id"].eqNullSafe(picks["_id"]))
+    told = filled.join(picks, same, "left_semi")
+    return told.select(F.explode("content").alias("place"), F.col("set_id").alias("node"))
+
+
 def meetings(places: DataFrame) -> DataFrame:
     """``place, a, b``: at each meeting place every class b with the smallest class a.
 
@@ -350,8 +361,7 @@ def linked(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataF
     classes = stored(filled.groupBy("set_id").agg(
         F.min("doc_id").alias("doc_id"), F.min(F.struct("doc_id", "text_key")).alias("pick"),
         F.min("n_shingles").alias("n_shingles"), F.min("point").alias("point")), "classes")
-    places = filled.select(F.explode("content").alias("place"), F.col("set_id").alias("node"))
-    meeting = stored(meetings(places), "meetings")
+    meeting = stored(meetings(class_places(filled, classes)), "meetings")
     first = stored(passing(meeting.select("a", "b").distinct(), classes, percent), "pairs")
     links = stored(verified(first, classes, docs, width, percent), "links")
     roots = components(links)

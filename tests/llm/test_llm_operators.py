@@ -271,6 +271,24 @@ def test_jaccard_join(spark, rows):
     assert rows(jaccard_join.linked(frame), "doc_id", "n_shingles", "component_id") == brute_components(docs)
 
 
+def test_jaccard_places_of_copies(spark, rows):
+    words = [f"w{i}" for i in range(60)]
+    near = words[:59] + ["other"]
+    docs = [(k, " ".join(words)) for k in range(5, 45)] + [(3, " ".join(near))] * 2 + [(None, " ".join(words))] * 3
+    docs += [(50, None), (51, "")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").withColumn("set_id", F.lit("x"))
+    found = jaccard_join.linked(frame)
+    assert rows(found, "doc_id", "component_id") == sorted(
+        [(d, 3 if t else d) for d, t in docs], key=repr)
+    keyed = frame.select("doc_id", F.xxhash64("text", F.col("text").isNull()).alias("text_key"), "text")
+    filled = jaccard_join.sketches(keyed, 4, 85).where("n_shingles > 0")
+    classes = filled.groupBy("set_id").agg(F.min(F.struct("doc_id", "text_key")).alias("pick"))
+    places = jaccard_join.class_places(filled, classes)
+    # Of 45 rows of two texts, the rows of one document each give places.
+    assert places.groupBy("node", "place").count().agg(F.max("count")).first()[0] == 3
+    assert places.select("node").distinct().count() == 2
+
+
 def test_chat(spark):
     chats = [(1, 0, "user", "Hello there my friend.\nHow do you do?"), (1, 1, "assistant", "> hello THERE, my friend\nFine."),
              (1, 2, "user", ">> Hello there my friend.\n> Fine.\nAh."), (2, 0, None, None), (None, 1, "user", "> x\ny")]

@@ -4,25 +4,48 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from civica.operators.ordering import quoted, stored, unused
 from civica.sources.collections import write_collection
 from civica.sources.files import Schema, csv_groups, list_entries, load_snapshots, read_csv
 
+# A result is one CSV file, written by one task, only while its records take no more.
+SINGLE_BYTES = 256 * 1024 * 1024
+
 
 def _write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
-def export_csv(df: DataFrame, path: str, order: Sequence[str] = ()) -> None:
-    """Write an aggregated result as one CSV file with a header.
-
-    The single task starts after a shuffle of the finished rows, so the work before
-    it keeps its parallelism.
+def export_csv(
+    df: DataFrame, path: str, order: Sequence[str | Column] = (), single_bytes: int = SINGLE_BYTES
+) -> None:
+    """Write a result as one CSV file with a header, or, where its records take more than
+    ``single_bytes``, as several, each with the header, whose names follow the order.
+
+    Either way ``read_csv`` reads the folder as one table. The rows are written to the
+    scratch folder first, which counts their bytes as well, so that no task gets a frame
+    that hasn't been measured. Beyond the bound they are sorted by range over many tasks;
+    rows that are equal in the order are spread by where they stand in their file. In the
+    single file and across the several, NULL comes where Spark's sort puts it. An empty
+    frame gives a header alone.
     """
-    single = df.repartition(1)
-    _write_csv(single.sortWithinPartitions(*order) if order else single, path)
+    seen = Observation()
+    record = F.octet_length(F.to_csv(F.struct(*quoted(df.columns)))) + 1
+    kept = stored(df.observe(seen, F.sum(record).alias("bytes")), "export")
+    if (seen.get["bytes"] or 0) <= single_bytes:
+        single = kept.repartition(1)
+        _write_csv(single.sortWithinPartitions(*order) if order else single, path)
+    elif order:
+        file, row = unused(kept, "file", "row")
+        keys = [*order, F.col(file), F.col(row)]
+        rows = kept.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row))
+        ordered = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        _write_csv(ordered.select(*quoted(df.columns)), path)
+    else:
+        _write_csv(kept, path)
 
 
 def export_all(df: DataFrame, path: str) -> None:

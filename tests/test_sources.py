@@ -99,6 +99,35 @@ def test_export_is_one_ordered_file(spark, tmp_path):
     assert [tuple(r) for r in back.collect()] == [('"a, b"', 1.0), ("b", 2.0), (None, 3.0)]
 
 
+def test_export_beyond_one_file_is_ordered_parts(spark, rows, tmp_path):
+    # Two thirds of the rows are equal in the order, and a name holds a dot.
+    df = spark.range(3000).selectExpr("if(id % 3 = 0, -id, 7) `a.b`", "concat('x,', id % 5) name").repartition(4)
+    out, schema = str(tmp_path / "out"), "`a.b` long, name string"
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        exports.export_csv(df, out, order=["`a.b`"], single_bytes=1000)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    parts = sorted((tmp_path / "out").glob("*.csv"))
+    lines = [part.read_text().splitlines() for part in parts]
+    assert len(parts) == 4 and max(map(len, lines)) < 1500
+    assert {x[0] for x in lines} == {"a.b,name"}
+    values = [int(line.split(",")[0]) for x in lines for line in x[1:]]
+    assert values == sorted(values)
+    assert rows(files.read_csv(spark, out, ",", schema)) == rows(df)
+    # Within the bound the same rows are one file.
+    exports.export_csv(df, out, order=["`a.b`"])
+    assert len(list((tmp_path / "out").glob("*.csv"))) == 1
+    assert rows(files.read_csv(spark, out, ",", schema)) == rows(df)
+
+
+def test_export_of_nothing_is_a_header(spark, tmp_path):
+    for bound in (0, 1000):
+        exports.export_csv(spark.range(0), str(tmp_path / "none"), order=["id"], single_bytes=bound)
+        assert [p.read_text() for p in (tmp_path / "none").glob("*.csv")] == ["id\n"]
+
+
 def test_head_is_ordered(spark, rows, tmp_path):
     exports.export_head(spark.range(50).repartition(5), str(tmp_path / "h"), ["id"], rows=3)
     assert rows(files.read_csv(spark, str(tmp_path / "h"), ",", "id int")) == [(0,), (1,), (2,)]

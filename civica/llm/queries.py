@@ -179,8 +179,13 @@ sets AS (
 flat AS (SELECT id, item, len(s) AS n, unnest(s) AS g FROM sets),
 met AS (
     SELECT d.id AS doc_id, i.id AS item_id, count(*) AS n_shared, i.n AS n_item
-    FROM flat d JOIN flat i ON d.g = i.g AND i.item AND NOT d.item GROUP BY d.id, i.id, i.n)
+    FROM flat d JOIN flat i ON d.g = i.g AND i.item AND NOT d.item GROUP BY d.id, i.id, i.n),
+short AS (SELECT id, len(w) AS m, array_to_string(w, ' ') AS g FROM words WHERE item AND len(w) BETWEEN 1 AND 4),
+held AS (
+    SELECT id, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS g
+    FROM words, (SELECT DISTINCT m FROM short) WHERE NOT item AND len(w) >= m)
 SELECT doc_id, item_id, n_shared, n_item, n_shared / n_item AS containment FROM met WHERE 10 * n_shared >= 8 * n_item
+UNION ALL SELECT DISTINCT d.id, i.id, 1, 1, 1.0 FROM held d JOIN short i ON d.g = i.g
 """
 
 def _collocations_sql() -> str:

@@ -328,11 +328,57 @@ def test_chat_places_of_a_long_conversation(spark):
 def test_decontamination(spark, odd, rows):
     items = spark.createDataFrame([(7, "One, two three. Four five SIX"), (8, "short"), (9, None)], "item_id long, text string")
     found = decontamination.contained_items(odd, items, block_items=1)
-    assert rows(found, "doc_id", "item_id", "n_shared") == [(3, 7, 2), (3, 7, 2), (None, 7, 2)]
+    assert rows(found, "doc_id", "item_id", "n_shared") == [(3, 7, 2), (3, 7, 2), (None, 7, 2)]  # none holds "short"
     assert decontamination.decontaminated(odd, items).columns == odd.columns
     assert decontamination.decontaminated(odd, items).count() == len(ODD) - 3
 
 
+def test_decontamination_short_items(spark, rows):
+    r = random.Random(10)
+    word = lambda: r.choice("abcdefgh")
+    docs = [(k, " ".join(word() for _ in range(r.choice([0, 1, 2, 3, 4, 5, 7, 12, 40])))) for k in range(60)]
+    items = [(k, " ".join(word() for _ in range(r.choice([1, 2, 3, 4, 5, 6, 9])))) for k in range(40)]
+    items += [(100, docs[-1][1] or "a"), (101, "!"), (102, ""), (103, items[0][1].upper()), (104, None)]
+
+    def grams(words, n):
+        return {tuple(words[i: i + n]) for i in range(len(words) - n + 1)}
+
+    want = []
+    for d, text in docs:
+        for i, item in items:
+            words = (item or "").lower().replace("!", "").split()
+            if words:
+                n = min(5, len(words))
+                own = grams(words, n)
+                shared = len(own & grams(text.split(), n))
+                if 10 * shared >= 8 * len(own):
+                    want.append((d, i, shared, len(own)))
+    found = lambda **how: decontamination.contained_items(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string"), **how)
+    columns = ("doc_id", "item_id", "n_shared", "n_item")
+    assert any(n < 5 for *_, n in want) and rows(found(), *columns) == sorted(want, key=repr)
+    # Blocks bounded by bytes find the same.
+    assert rows(found(block_bytes=200), *columns) == sorted(want, key=repr)
+
+
+def test_decontamination_sql_short_items(spark, rows):
+    import duckdb
+
+    from civica.llm.queries import ORACLES
+    docs = [(1, "The answer is b"), (2, "b"), (3, "one two three four five six"), (4, ""), (5, "is the B answer")]
+    items = [(7, "B"), (8, "answer is"), (9, "one two three four five six"), (10, "?")]
+    con = duckdb.connect()
+    for name, key, data in (("documents", "doc_id", docs), ("benchmark", "item_id", items)):
+        con.execute(f"CREATE TABLE {name} ({key} BIGINT, text VARCHAR)")
+        con.executemany(f"INSERT INTO {name} VALUES (?, ?)", data)
+    want = con.execute(f"SELECT doc_id, item_id, n_shared, n_item FROM ({ORACLES['op10_decontamination']})").fetchall()
+    got = decontamination.contained_items(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert rows(got, "doc_id", "item_id", "n_shared", "n_item") == sorted(want, key=repr)
+    assert (1, 8, 1, 1) in want and (5, 7, 1, 1) in want and len(want) == 5
+
+
 def test_clashing_names_in_any_case(spark, rows):
     docs = spark.createDataFrame(
         [(1, "a line of some length here\nx", 7, "p"), (2, "a line of some length here", 8, "q")],

@@ -1,17 +1,20 @@
 """N-gram Jaccard join: count vectors in an R-tree, found by lossless partitions.
 
-1. Shingles of a document are hashed into groups; the counts of 128 fixed groups are its
-   point. Documents with equal shingle sets are one class from here on.
+1. Shingles of a document are hashed into groups; the counts of 128 fixed groups, or of
+   a power of two that is more for a long text, are its point. Points of different
+   lengths compare after folding. Documents with equal shingle sets are one class from
+   here on.
 2. Two sets of sizes a and b that link differ in at most D = (a + b) * 15 / 185 shingles
    (at 85 %). Hashed into more than D groups, they agree in the whole content of a group,
    so classes meet by the hash of a group's content. The number of groups depends on the
    band of sizes; a class that may link into the next band is dealt out there as well.
 3. Where classes meet, each is tried against the smallest class only. Pairs whose bound,
-   the sum of coordinate minima of their points, is too small are dropped; the others
+   the sum of coordinate minima of their points, is too small are dropped, long ones by
+   128 coordinates first and by all they have in common then; the others
    are verified on the shingle sets. Links so far give components.
 4. Meeting places that still hold several components get an R-tree over the points
-   (boxes of coordinate maxima); it yields the pairs between components that pass the
-   bound. These are verified too, so no link between different texts is lost, and a
+   (boxes of coordinate maxima), folded to 128 coordinates; it yields the pairs between
+   components that pass the bound. These are verified too, so no link between different texts is lost, and a
    large group of copies never becomes all its pairs.
 """
 
@@ -31,6 +34,9 @@ from civica.llm.hashing import ODD, SPACED, mix, shingle_set
 WIDTH = 4
 PERCENT = 85
 DIMENSIONS = 128
+# A coordinate counts at most about so many shingles; beyond it, random sets of equal size
+# look alike and the bound lets through every pair of long texts.
+CROWD = 8
 LEAF = 16
 BLOCK = 2_000
 SMALL = 4_096
@@ -100,6 +106,14 @@ def group_contents(found: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(parts).view(np.int64)
 
 
+def dimensions_of(n: int) -> int:
+    """Coordinates of a point of n shingles: a power of two times DIMENSIONS, by CROWD."""
+    size = DIMENSIONS
+    while size * CROWD < n:
+        size *= 2
+    return size
+
+
 def point_of(found: np.ndarray, dimensions: int) -> np.ndarray:
     counts = np.bincount((mix(found + ODD) % np.uint64(dimensions)).astype(np.int64), minlength=dimensions)
     # A full coordinate keeps its bound safe: it is clipped on both sides alike, and
@@ -118,7 +132,7 @@ def sketches(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 sizes.append(len(found))
                 ids.append(int(mix(mix(found).sum(dtype=np.uint64, keepdims=True) + np.uint64(len(found))).view(np.int64)[0])
                            if len(found) else None)
-                points.append(point_of(found, DIMENSIONS).tobytes())
+                points.append(point_of(found, dimensions_of(len(found))).tobytes())
                 contents.append(group_contents(found, percent))
             offsets = np.cumsum([0, *map(len, contents)])
             flat = np.concatenate([np.empty(0, np.int64), *contents])
@@ -178,8 +192,25 @@ def bound(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.where((low == MAX_COUNT).any(axis=-1), np.iinfo(np.int64).max, total)
 
 
+def folded(point: bytes, dimensions: int) -> np.ndarray:
+    """The point as it would be with fewer dimensions; clipped counts stay clipped."""
+    counts = np.frombuffer(point, np.uint8)
+    if len(counts) == dimensions:
+        return counts
+    return np.minimum(counts.reshape(-1, dimensions).sum(axis=0, dtype=np.int64), MAX_COUNT).astype(np.uint8)
+
+
 def points(column: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(column), np.uint8).reshape(len(column), -1)
+    """Points of any length, folded to DIMENSIONS."""
+    same = b"".join(p if len(p) == DIMENSIONS else folded(p, DIMENSIONS).tobytes() for p in column)
+    return np.frombuffer(same, np.uint8).reshape(len(column), -1)
+
+
+def allows(x: bytes, y: bytes, nx: int, ny: int, percent: int) -> bool:
+    """Whether two points allow a link by all coordinates they have in common."""
+    common = min(len(x), len(y))
+    return common == DIMENSIONS or bool(
+        bound(folded(x, common), folded(y, common)) >= needed_overlap(nx, ny, percent))
 
 
 def passing(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -194,7 +225,9 @@ def passing(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
             if len(frame):
                 ok = bound(points(frame["pa"]), points(frame["pb"])) >= needed_overlap(
                     frame["na"].to_numpy(), frame["nb"].to_numpy(), percent)
-                yield frame.loc[ok, ["a", "b"]]
+                left = frame.loc[ok]
+                fine = [allows(*row, percent) for row in zip(left["pa"], left["pb"], left["na"], left["nb"])]
+                yield left.loc[np.array(fine, bool), ["a", "b"]]
 
     return joined.mapInPandas(test, "a bigint, b bigint")
 
@@ -296,6 +329,7 @@ def across(meeting: DataFrame, classes: DataFrame, roots: DataFrame, percent: in
     def tried(frame: pd.DataFrame) -> list[tuple[int, int]]:
         """The pairs of one place and pair of blocks."""
         own, node, root = (frame[c].to_numpy() for c in ("own", "node", "root"))
+        whole = frame["point"].to_numpy()
         sizes, vectors = frame["n_shingles"].to_numpy(), points(frame["point"])
         known = [set(x) for x in frame["places"]]
         place, i, j = (frame[c].iloc[0] for c in ("place", "i", "j"))
@@ -315,7 +349,7 @@ def across(meeting: DataFrame, classes: DataFrame, roots: DataFrame, percent: in
             if root[x] == root[y] or i == j and node[x] >= node[y]:
                 continue
             shared = known[x] & known[y]
-            if not shared or min(shared) == place:
+            if (not shared or min(shared) == place) and allows(whole[x], whole[y], sizes[x], sizes[y], percent):
                 found.append((min(node[x], node[y]), max(node[x], node[y])))
         return found
 

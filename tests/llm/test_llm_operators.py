@@ -5,6 +5,7 @@ import random
 import re
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -288,6 +289,43 @@ def test_jaccard_join(spark, rows):
     assert rows(jaccard_join.linked(frame), "doc_id", "n_shingles", "component_id") == brute_components(docs)
 
 
+def test_jaccard_long_texts(spark, rows):
+    """Long unlike texts of like size, with shared passages, are told apart by their points;
+    long linked ones pass, also where their points differ in length."""
+    r = random.Random(8)
+    prose = lambda n: [f"w{r.randrange(5_000)}" for _ in range(n)]
+    passage, texts = prose(40), [prose(n) for n in (3_000, 3_000, 3_050, 3_100, 4_000, 4_200, 1_000)]
+    texts = [passage + t for t in texts]
+    texts += [texts[0][:2_900], texts[5][:1_000] + ["other"] + texts[5][1_000:], texts[6] + prose(60)]
+    texts += [prose(30) for _ in range(2)]
+    docs = [(k, " ".join(t)) for k, t in enumerate(texts)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert rows(jaccard_join.linked(frame), "doc_id", "n_shingles", "component_id") == brute_components(docs)
+    keyed = frame.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+    classes = jaccard_join.sketches(keyed, 4, 85).cache()
+    assert {len(x.point) for x in classes.collect()} >= {128, 256, 512, 1024}
+    pairs = classes.alias("x").join(classes.alias("y"), F.col("x.doc_id") < F.col("y.doc_id")).select(
+        F.col("x.set_id").alias("a"), F.col("y.set_id").alias("b"))
+    name = {x.set_id: x.doc_id for x in classes.collect()}
+    left = {(name[x.a], name[x.b]) for x in jaccard_join.passing(pairs, classes, 85).collect()}
+    assert left == {(0, 7), (5, 8), (6, 9)}
+
+
+def test_jaccard_folded_points_bound(spark):
+    """Any two points bound what their sets share, whatever their lengths and clipped counts."""
+    r = np.random.default_rng(3)
+    for n, m, both in ((900, 1_100, 850), (4_000, 4_500, 3_900), (40_000, 41_000, 100), (70_000, 66_000, 66_000)):
+        found = r.integers(0, 1 << 63, n + m - both, dtype=np.uint64)
+        x, y = (jaccard_join.point_of(f, jaccard_join.dimensions_of(len(f))).tobytes() for f in (found[:n], found[n - both:]))
+        for size in (128, min(len(x), len(y))):
+            assert jaccard_join.bound(jaccard_join.folded(x, size), jaccard_join.folded(y, size)) >= both
+        whole = jaccard_join.point_of(found[:n], 128)
+        assert (jaccard_join.folded(x, 128) == whole).all()
+        assert jaccard_join.allows(x, y, n, m, 85) >= (100 * both >= 85 * (n + m - both))
+    assert not jaccard_join.allows(*(jaccard_join.point_of(r.integers(0, 1 << 63, 40_000, dtype=np.uint64), 8_192).tobytes()
+                                     for _ in range(2)), 40_000, 40_000, 85)
+
+
 def test_jaccard_places_of_copies(spark, rows):
     words = [f"w{i}" for i in range(60)]
     near = words[:59] + ["other"]
